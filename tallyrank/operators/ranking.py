@@ -81,3 +81,14 @@ def previous_value(df: DataFrame, keys: list[str], column: str, bucket: Column,
     inside = Window.partitionBy(*keys, "_slice").orderBy(column)
     out = sliced.withColumn("_lag", F.lag(column).over(inside)).join(edges, [*keys, "_slice"])
     return out.withColumn(name, F.coalesce("_lag", "_edge", F.lit(first))).drop("_slice", "_lag", "_edge")
+
+
+def running_total(df: DataFrame, keys: list[str], order: list[Column], bucket: Column, value: str, name: str) -> DataFrame:
+    """Inclusive running sum of ``value`` in ``order``, slice by slice as in ``position``."""
+    sliced = df.withColumn("_slice", bucket)
+    sums = sliced.groupBy(*keys, "_slice").agg(F.sum(value).alias("_sum"))
+    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
+    inside = Window.partitionBy(*keys, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    out = sliced.withColumn("_inside", F.sum(value).over(inside)).join(offsets, [*keys, "_slice"])
+    return out.withColumn(name, F.col("_before") + F.col("_inside")).drop("_slice", "_inside", "_before")

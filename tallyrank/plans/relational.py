@@ -9,7 +9,6 @@ from tallyrank.operators import relational as rel
 from tallyrank.operators import splits
 from tallyrank.plans.registry import REGISTRY, with_views
 from tallyrank.sources import files
-from tallyrank.sources.tables import epoch_seconds
 
 query = REGISTRY.query
 
@@ -103,9 +102,12 @@ def _(t):
 
 
 @query("read_skip_header", """
-    SELECT n_nationkey AS id, n_name AS name FROM nation""")
+    SELECT s_suppkey AS id, s_nationkey AS zone, s_acctbal AS balance FROM supplier""")
 def _(t):
-    return t.nation.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
+    lines = t.supplier.select(F.concat_ws(",", "s_suppkey", "s_nationkey", "s_acctbal").alias("value"))
+    head = t.spark.sql("SELECT 'id,zone,balance' AS value")
+    schema = "id BIGINT, zone INT, balance DOUBLE"
+    return files.parse_delimited(lines.unionByName(head), schema, "id,zone,balance")
 
 
 # ---- projections and joins ---------------------------------------------------------

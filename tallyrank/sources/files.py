@@ -33,6 +33,12 @@ def read_skip_header(spark: SparkSession, path: str, schema: str, sep: str = ","
     return spark.read.schema(schema).csv(path, sep=sep, header=True)
 
 
+def parse_delimited(lines: DataFrame, schema: str, header: str | None = None, sep: str = ",") -> DataFrame:
+    """Columns from delimited text lines, without the lines that repeat the header."""
+    kept = lines.where(F.col("value") != header) if header else lines
+    return kept.select(F.from_csv("value", schema, {"sep": sep}).alias("_r")).select("_r.*")
+
+
 def read_items(spark: SparkSession, path: str, sep: str = "::") -> DataFrame:
     """Latin-1 item file: title and the pipe-separated genres as an array."""
     raw = spark.read.schema(ITEM_SCHEMA).csv(path, sep=sep, encoding="ISO-8859-1")
