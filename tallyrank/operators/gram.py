@@ -13,23 +13,20 @@ are added up:
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyrank.session import hold
+
 HEAVY_GROUP = 2000
 BLOCK_MEMBERS = 1024
 CHUNK_GROUPS = 256
 
 
-def split_heavy(entries: DataFrame, group: str, heavy: int) -> tuple[DataFrame, DataFrame]:
-    """(light rows, heavy rows) by group size; there are at most rows / heavy heavy groups."""
-    sizes = entries.groupBy(group).agg(F.count(F.lit(1)).alias("_size"))
-    hot = sizes.where(F.col("_size") > heavy).select(group)
-    return entries.join(hot, group, "left_anti"), entries.join(hot, group, "left_semi")
+def _blocks(count: int, width: int) -> int:
+    return max(1, -(-count // width))
 
 
 def _cell_product(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -62,16 +59,14 @@ def _cell_product(pdf: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def heavy_pairs(
-    rows: DataFrame, member_type: str, block: int = BLOCK_MEMBERS, chunk: int = CHUNK_GROUPS
-) -> DataFrame:
+def heavy_pairs(rows: DataFrame, members: int, groups: int, block: int, chunk: int) -> DataFrame:
     """Pair sums of (g, m, x) rows by blocked dense products."""
-    blocks = rows.agg(F.ceil(F.approx_count_distinct("m") / block).cast("int")).scalar()
-    chunks = rows.agg(F.ceil(F.approx_count_distinct("g") / chunk).cast("int")).scalar()
+    blocks, chunks = _blocks(members, block), _blocks(groups, chunk)
+    member_type = rows.schema["m"].dataType.simpleString()
     dealt = (
-        rows.withColumn("blk", F.pmod(F.xxhash64("m"), F.greatest(blocks, F.lit(1))).cast("int"))
-        .withColumn("chunk", F.pmod(F.xxhash64("g"), F.greatest(chunks, F.lit(1))).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.greatest(blocks, F.lit(1)) - 1)))
+        rows.withColumn("blk", F.pmod(F.xxhash64("m"), F.lit(blocks)).cast("int"))
+        .withColumn("chunk", F.pmod(F.xxhash64("g"), F.lit(chunks)).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
         .withColumn("lo", F.least("blk", "other"))
         .withColumn("hi", F.greatest("blk", "other"))
         .drop("other")
@@ -92,21 +87,29 @@ def pair_sums(
     """(a, b, value, n) for every pair a < b of members sharing a group.
 
     ``value`` is the sum over shared groups of x_a * x_b (1 without ``value``) and ``n``
-    the number of shared groups. (group, member) must be distinct.
+    the number of shared groups. (group, member) must be distinct. The group sizes are
+    measured first, so the blocked path is planned only when some group needs it.
     """
     x = F.col(value).cast("double") if value else F.lit(1.0)
-    rows = entries.select(F.col(group).alias("g"), F.col(member).alias("m"), x.alias("x"))
-    light, hot = split_heavy(rows, "g", heavy)
+    rows = hold(entries.select(F.col(group).alias("g"), F.col(member).alias("m"), x.alias("x")))
+    hot = rows.groupBy("g").agg(F.count(F.lit(1)).alias("_size")).where(F.col("_size") > heavy)
+    n_hot = hot.count()
+    light = rows
+    if n_hot:
+        hot = hold(hot.select("g"))
+        light = rows.join(hot, "g", "left_anti")
     left = light.select("g", F.col("m").alias("a"), F.col("x").alias("xa"))
     right = light.select("g", F.col("m").alias("b"), F.col("x").alias("xb"))
-    from_light = (
+    pairs = (
         left.join(right, "g")
         .where(F.col("a") < F.col("b"))
         .select("a", "b", (F.col("xa") * F.col("xb")).alias("value"), F.lit(1).cast("bigint").alias("n"))
     )
-    member_type = rows.schema["m"].dataType.simpleString()
-    both = from_light.unionByName(heavy_pairs(hot, member_type, block, chunk))
-    return both.groupBy("a", "b").agg(F.sum("value").alias("value"), F.sum("n").alias("n"))
+    if n_hot:
+        dense = rows.join(hot, "g", "left_semi")
+        members = dense.agg(F.approx_count_distinct("m")).first()[0]
+        pairs = pairs.unionByName(heavy_pairs(dense, members, n_hot, block, chunk))
+    return pairs.groupBy("a", "b").agg(F.sum("value").alias("value"), F.sum("n").alias("n"))
 
 
 def mirror(pairs: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
@@ -151,40 +154,46 @@ def product_sums(
     are large on both sides go through blocked dense products, the others through a join
     aggregated in place.
     """
-    ltype = left.schema["a"].dataType.simpleString()
-    rtype = right.schema["b"].dataType.simpleString()
+    left, right = hold(left), hold(right)
     lsize = left.groupBy("g").agg(F.count(F.lit(1)).alias("_l"))
     rsize = right.groupBy("g").agg(F.count(F.lit(1)).alias("_r"))
     hot = lsize.join(rsize, "g").where(
         F.col("_l") * F.col("_r") > F.lit(float(heavy)) * heavy
     ).select("g")
-    light = (
-        left.join(hot, "g", "left_anti").withColumnRenamed("x", "_x")
-        .join(right, "g")
+    n_hot = hot.count()
+    lrows, rrows = left, right
+    if n_hot:
+        hot = hold(hot)
+        lrows, rrows = left.join(hot, "g", "left_anti"), right.join(hot, "g", "left_anti")
+    parts = (
+        lrows.withColumnRenamed("x", "_x")
+        .join(rrows, "g")
         .select("a", "b", (F.col("_x") * F.col("x")).alias("value"))
     )
-    lrows = left.join(hot, "g", "left_semi").select("g", F.col("a").alias("m"), "x")
-    rrows = right.join(hot, "g", "left_semi").select("g", F.col("b").alias("m"), "x")
+    if n_hot:
+        parts = parts.unionByName(_heavy_product(left, right, hot, n_hot, block, chunk))
+    return parts.groupBy("a", "b").agg(F.sum("value").alias("value"))
 
-    def count_of(df, column, width):
-        return F.greatest(
-            df.agg(F.ceil(F.approx_count_distinct(column) / width).cast("int")).scalar(), F.lit(1)
-        )
 
-    lblocks, rblocks = count_of(lrows, "m", block), count_of(rrows, "m", block)
-    chunks = count_of(lrows, "g", chunk)
+def _heavy_product(left, right, hot, n_hot: int, block: int, chunk: int) -> DataFrame:
+    ltype = left.schema["a"].dataType.simpleString()
+    rtype = right.schema["b"].dataType.simpleString()
+    lrows = left.join(hot, "g", "left_semi").select("g", F.col("a").alias("m"), "x")
+    rrows = right.join(hot, "g", "left_semi").select("g", F.col("b").alias("m"), "x")
+    lblocks = _blocks(lrows.agg(F.approx_count_distinct("m")).first()[0], block)
+    rblocks = _blocks(rrows.agg(F.approx_count_distinct("m")).first()[0], block)
+    chunk_of = F.pmod(F.xxhash64("g"), F.lit(_blocks(n_hot, chunk))).cast("int")
     lcells = (
-        lrows.withColumn("lo", F.pmod(F.xxhash64("m"), lblocks).cast("int"))
-        .withColumn("hi", F.explode(F.sequence(F.lit(0), rblocks - 1)))
-        .withColumn("chunk", F.pmod(F.xxhash64("g"), chunks).cast("int"))
+        lrows.withColumn("lo", F.pmod(F.xxhash64("m"), F.lit(lblocks)).cast("int"))
+        .withColumn("hi", F.explode(F.sequence(F.lit(0), F.lit(rblocks - 1))))
+        .withColumn("chunk", chunk_of)
     )
     rcells = (
-        rrows.withColumn("hi", F.pmod(F.xxhash64("m"), rblocks).cast("int"))
-        .withColumn("lo", F.explode(F.sequence(F.lit(0), lblocks - 1)))
-        .withColumn("chunk", F.pmod(F.xxhash64("g"), chunks).cast("int"))
+        rrows.withColumn("hi", F.pmod(F.xxhash64("m"), F.lit(rblocks)).cast("int"))
+        .withColumn("lo", F.explode(F.sequence(F.lit(0), F.lit(lblocks - 1))))
+        .withColumn("chunk", chunk_of)
     )
     cells = ["lo", "hi", "chunk"]
-    blocked = lcells.groupBy(*cells).cogroup(rcells.groupBy(*cells)).applyInPandas(
+    return lcells.groupBy(*cells).cogroup(rcells.groupBy(*cells)).applyInPandas(
         _product_cell, f"a {ltype}, b {rtype}, value double"
     )
-    return light.unionByName(blocked).groupBy("a", "b").agg(F.sum("value").alias("value"))

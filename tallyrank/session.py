@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -44,3 +45,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="tallyrank-checkpoint-")
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def hold(df: DataFrame) -> DataFrame:
+    """Keep a frame that several branches of one plan read, in executor memory with spill
+    to disk. Blocks lost with an executor are computed again from the frame's lineage.
+    ``release`` drops everything held once the results are written."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def release(spark: SparkSession) -> None:
+    spark.catalog.clearCache()

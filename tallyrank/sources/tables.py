@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyrank.functions.hashing import hash_prefix
+from tallyrank.session import hold
 
 TRAIN_LIMIT = "b3"  # first two hex digits below this: about 70% of the rows
 
@@ -55,10 +56,10 @@ class Tables:
         grouped = self.lines.groupBy(
             F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id")
         ).agg(F.sum("l_quantity").alias("_q"), F.min("o_orderdate").alias("_t"))
-        return grouped.select(
+        return hold(grouped.select(
             "user_id", "item_id", star_rating(F.col("_q")).alias("rating"),
             epoch_seconds("_t").alias("ts"),
-        )
+        ))
 
     @cached_property
     def train(self) -> DataFrame:
@@ -77,7 +78,7 @@ class Tables:
             .groupBy(F.col("o_custkey").alias("user_id"), "item_id")
             .agg(F.sum("l_quantity").alias("_q"))
         )
-        return grouped.select("user_id", "item_id", star_rating(F.col("_q")).alias("rating"))
+        return hold(grouped.select("user_id", "item_id", star_rating(F.col("_q")).alias("rating")))
 
     @cached_property
     def baskets(self) -> DataFrame:
