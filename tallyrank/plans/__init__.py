@@ -6,7 +6,7 @@ from importlib import import_module
 
 from tallyrank.plans.registry import REGISTRY, Registry
 
-FAMILIES = ["relational", "neighbours"]
+FAMILIES = ["relational", "neighbours", "metrics"]
 
 
 def load_all() -> Registry:
