@@ -6,7 +6,7 @@ from importlib import import_module
 
 from tallyrank.plans.registry import REGISTRY, Registry
 
-FAMILIES = ["relational", "neighbours", "metrics"]
+FAMILIES = ["relational", "neighbours", "metrics", "sequences"]
 
 
 def load_all() -> Registry:
