@@ -127,15 +127,15 @@ def _product_cell(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     if left.empty or right.empty:
         return empty
     groups = pd.Index(pd.unique(left["g"]))
-    right = right[right["g"].isin(groups)]
+    right = right[right["h"].isin(groups)]
     if right.empty:
         return empty
     acol, am = pd.factorize(left["m"])
-    bcol, bm = pd.factorize(right["m"])
+    bcol, bm = pd.factorize(right["w"])
     lhs = np.zeros((len(groups), len(am)))
     rhs = np.zeros((len(groups), len(bm)))
     lhs[groups.get_indexer(left["g"]), acol] = left["x"].to_numpy()
-    rhs[groups.get_indexer(right["g"]), bcol] = right["x"].to_numpy()
+    rhs[groups.get_indexer(right["h"]), bcol] = right["y"].to_numpy()
     total = lhs.T @ rhs
     i, j = np.nonzero(total)
     return pd.DataFrame({"a": np.asarray(am)[i], "b": np.asarray(bm)[j], "value": total[i, j]})
@@ -182,16 +182,21 @@ def _heavy_product(left, right, hot, n_hot: int, block: int, chunk: int) -> Data
     rrows = right.join(hot, "g", "left_semi").select("g", F.col("b").alias("m"), "x")
     lblocks = _blocks(lrows.agg(F.approx_count_distinct("m")).first()[0], block)
     rblocks = _blocks(rrows.agg(F.approx_count_distinct("m")).first()[0], block)
-    chunk_of = F.pmod(F.xxhash64("g"), F.lit(_blocks(n_hot, chunk))).cast("int")
+
+    def chunk_of(column):
+        return F.pmod(F.xxhash64(column), F.lit(_blocks(n_hot, chunk))).cast("int")
+
+    # own column names on each side: both may come from one table
+    rrows = rrows.select(F.col("g").alias("h"), F.col("m").alias("w"), F.col("x").alias("y"))
     lcells = (
         lrows.withColumn("lo", F.pmod(F.xxhash64("m"), F.lit(lblocks)).cast("int"))
         .withColumn("hi", F.explode(F.sequence(F.lit(0), F.lit(rblocks - 1))))
-        .withColumn("chunk", chunk_of)
+        .withColumn("chunk", chunk_of("g"))
     )
     rcells = (
-        rrows.withColumn("hi", F.pmod(F.xxhash64("m"), F.lit(rblocks)).cast("int"))
+        rrows.withColumn("hi", F.pmod(F.xxhash64("w"), F.lit(rblocks)).cast("int"))
         .withColumn("lo", F.explode(F.sequence(F.lit(0), F.lit(lblocks - 1))))
-        .withColumn("chunk", chunk_of)
+        .withColumn("chunk", chunk_of("h"))
     )
     cells = ["lo", "hi", "chunk"]
     return lcells.groupBy(*cells).cogroup(rcells.groupBy(*cells)).applyInPandas(

@@ -44,7 +44,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="tallyrank-checkpoint-")
         context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)  # the write would otherwise run the plan twice
+    saved = kept.checkpoint(eager=True)
+    kept.unpersist()
+    return saved
 
 
 def hold(df: DataFrame) -> DataFrame:
