@@ -31,33 +31,27 @@ def as_vectors(factors: DataFrame, k: int) -> DataFrame:
 
 
 def _gram(factors: DataFrame, k: int) -> np.ndarray:
-    sums = [F.sum(F.col(f"f{i}") * F.col(f"f{j}")) for i in range(k) for j in range(i + 1)]
-    row = factors.agg(*sums).first()
+    places = [(i, j) for i in range(k) for j in range(i + 1)]
+    row = factors.agg(*[F.expr(f"sum(f{i} * f{j})") for i, j in places]).first()
     out = np.zeros((k, k))
-    place = 0
-    for i in range(k):
-        for j in range(i + 1):
-            out[i, j] = out[j, i] = row[place] or 0.0
-            place += 1
+    for (i, j), value in zip(places, row):
+        out[i, j] = out[j, i] = value or 0.0
     return out
 
 
 def _times(matrix: np.ndarray, k: int) -> list[Column]:
     """The row vector (f0 .. f{k-1}) times a small matrix."""
-    out = []
-    for j in range(matrix.shape[1]):
-        total = F.lit(0.0)
-        for i in range(k):
-            total = total + F.col(f"f{i}") * F.lit(float(matrix[i, j]))
-        out.append(total.alias(f"f{j}"))
-    return out
+    return [
+        F.expr(" + ".join(f"f{i} * {float(matrix[i, j])!r}D" for i in range(k))).alias(f"f{j}")
+        for j in range(matrix.shape[1])
+    ]
 
 
 def _weighted_sums(entries: DataFrame, factors: DataFrame, own: str, other: str, k: int) -> DataFrame:
     """(id, f...): sum of x * factor of ``other`` over the entries of each ``own``."""
     joined = entries.join(factors.withColumnRenamed("id", other), other)
     return joined.groupBy(F.col(own).alias("id")).agg(
-        *[F.sum(F.col("x") * F.col(f)).alias(f) for f in names(k)])
+        *[F.expr(f"sum(x * {f})").alias(f) for f in names(k)])
 
 
 def als_zero_imputed(entries: DataFrame, k: int = 3, rounds: int = 10) -> tuple[DataFrame, DataFrame]:
@@ -136,10 +130,7 @@ def _damped(step: float, n: Column) -> Column:
 
 
 def _dot(k: int) -> Column:
-    total = F.lit(0.0)
-    for d in range(k):
-        total = total + F.col(f"f{d}") * F.col(f"g{d}")
-    return total
+    return F.expr(" + ".join(f"f{d} * g{d}" for d in range(k)))
 
 
 def mf_gradient(
