@@ -8,6 +8,7 @@ user or item costs one row per task. Only k x k matrices come to the driver.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,13 +31,24 @@ def as_vectors(factors: DataFrame, k: int) -> DataFrame:
     return factors.select("id", F.array(*names(k)).alias("vec"))
 
 
+def _gram_part(columns: list[str]):
+    def part(frames):
+        total = np.zeros((len(columns), len(columns)))
+        for pdf in frames:
+            block = pdf[columns].to_numpy(dtype=float)
+            total += block.T @ block
+        yield pd.DataFrame({"place": np.arange(total.size), "x": total.ravel()})
+
+    return part
+
+
 def _gram(factors: DataFrame, k: int) -> np.ndarray:
-    places = [(i, j) for i in range(k) for j in range(i + 1)]
-    row = factors.agg(*[F.expr(f"sum(f{i} * f{j})") for i, j in places]).first()
-    out = np.zeros((k, k))
-    for (i, j), value in zip(places, row):
-        out[i, j] = out[j, i] = value or 0.0
-    return out
+    """F'F: every partition adds up its own k x k matrix, the sums of those come back."""
+    parts = factors.select(*names(k)).mapInPandas(_gram_part(names(k)), "place long, x double")
+    out = np.zeros(k * k)
+    for place, x in parts.groupBy("place").agg(F.sum("x")).collect():
+        out[place] = x
+    return out.reshape(k, k)
 
 
 def _times(matrix: np.ndarray, k: int) -> list[Column]:

@@ -6,7 +6,7 @@ from importlib import import_module
 
 from tallyrank.plans.registry import REGISTRY, Registry
 
-FAMILIES = ["relational", "neighbours", "metrics", "sequences", "features", "vectors", "profiles"]
+FAMILIES = ["relational", "neighbours", "metrics", "sequences", "features", "vectors", "profiles", "models"]
 
 
 def load_all() -> Registry:
