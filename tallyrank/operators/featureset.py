@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyrank.operators.ranking import position, prefix_slices, top_k
+from tallyrank.operators.ranking import position, top_k
 
 MAX_ONE_HOT = 10000
 
@@ -61,11 +61,8 @@ def feature_dictionary(fields: DataFrame) -> DataFrame:
     Ids run through the fields in order, values in sorted order inside a field.
     """
     values = fields.select("field", "field_id", F.coalesce("raw", F.lit("")).alias("raw")).distinct()
-    slices = F.struct(F.col("field_id"), prefix_slices("raw", "string"))
-    return position(
-        values.withColumn("_all", F.lit(0)), ["_all"],
-        [F.col("field_id"), F.col("raw")], slices, "feat_id",
-    ).drop("_all")
+    everything = values.withColumn("_all", F.lit(0))
+    return position(everything, ["_all"], [F.col("field_id"), F.col("raw")], None, "feat_id").drop("_all")
 
 
 def index_value_rows(fields: DataFrame, dictionary: DataFrame) -> DataFrame:

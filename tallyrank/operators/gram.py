@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from tallyrank.session import hold
 
-HEAVY_GROUP = 2000
-BLOCK_MEMBERS = 1024
+HEAVY_GROUP = 512
+BLOCK_MEMBERS = 2048
 CHUNK_GROUPS = 256
 
 

@@ -6,11 +6,11 @@ distinct on (user, item). Every metric is a partial aggregate over a (user, item
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from tallyrank.operators.ranking import position, prefix_slices, running_total
+from tallyrank.operators.ranking import position, running_total
 
 KEY = ["user_id", "item_id"]
 
@@ -78,40 +78,35 @@ def accuracy(rows: DataFrame, pred: str, label: str) -> DataFrame:
     return rows.agg(F.avg((F.col(pred) == F.col(label)).cast("double")).alias("accuracy"))
 
 
-def roc_auc(rows: DataFrame, score: str, label: str, slices: Column) -> DataFrame:
+def roc_auc(rows: DataFrame, score: str, label: str) -> DataFrame:
     """Exact area under the ROC curve; ties count one half.
 
-    Rows are first counted per score. ``slices`` must not decrease with the score; the
-    running count of negatives is made slice by slice.
+    Rows are first counted per score; the running count of negatives goes over score ranges.
     """
     counts = rows.groupBy(F.col(score).alias("score")).agg(
         F.sum(label).alias("pos"), F.sum(1 - F.col(label)).alias("neg")
     )
     below = running_total(
-        counts.withColumn("_all", F.lit(0)), ["_all"], [F.col("score")], slices, "neg", "upto"
+        counts.withColumn("_all", F.lit(0)), ["_all"], [F.col("score")], None, "neg", "upto"
     )
     wins = F.sum(F.col("pos") * (F.col("upto") - F.col("neg") + 0.5 * F.col("neg")))
     return below.agg((wins / (F.sum("pos").cast("double") * F.sum("neg"))).alias("auc"))
 
 
-def _gini(rows: DataFrame, order: str, actual: str, key: str, slices: Column) -> DataFrame:
+def _gini(rows: DataFrame, order: str, actual: str, key: str) -> DataFrame:
     """The sum of cumulative actuals is sum(actual * (n - position)): no running sum needed."""
     keyed = rows.withColumn("_all", F.lit(0))
-    numbered = position(keyed, ["_all"], [F.desc(order), F.asc(key)], slices, "_pos", "_n")
+    numbered = position(keyed, ["_all"], [F.desc(order), F.asc(key)], None, "_pos", "_n")
     n = F.max("_n")
     total = F.sum(actual)
     cumulative = F.sum(F.col(actual) * (F.col("_n") - F.col("_pos"))) / total
     return numbered.agg(((cumulative - (n + 1) / 2.0) / n).alias("gini"))
 
 
-def gini_normalized(rows: DataFrame, pred: str, actual: str, key: str, slices: Column) -> DataFrame:
-    """Gini by predicted order over Gini by actual order, ties in key order.
-
-    ``slices`` must not decrease as the prediction falls.
-    """
-    kind = prefix_slices(key, rows.schema[key].dataType.simpleString())
-    best = _gini(rows, actual, actual, key, F.struct(-F.col(actual), kind))
-    return _gini(rows, pred, actual, key, slices).select(
+def gini_normalized(rows: DataFrame, pred: str, actual: str, key: str) -> DataFrame:
+    """Gini by predicted order over Gini by actual order, ties in key order."""
+    best = _gini(rows, actual, actual, key)
+    return _gini(rows, pred, actual, key).select(
         (F.col("gini") / best.select("gini").scalar()).alias("gini_normalized")
     )
 
@@ -153,8 +148,7 @@ def rank_hr_ndcg(positives: DataFrame, negatives: DataFrame, k: int = 10) -> Dat
 
 def recall_ndcg_hit(recs: DataFrame, truth: DataFrame, order: str = "item_id") -> DataFrame:
     """Averages over truth users; gains are indexed by the item's place in the truth list."""
-    kind = prefix_slices(order, truth.schema[order].dataType.simpleString())
-    placed = position(truth, ["user_id"], [F.col(order)], kind, "no")
+    placed = position(truth, ["user_id"], [F.col(order)], None, "no")
     marked = placed.join(recs.select(*KEY).withColumn("_r", F.lit(1)), KEY, "left")
     users = marked.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("n"),

@@ -47,8 +47,14 @@ def triple_support(baskets: DataFrame, min_support: float = 0.4) -> DataFrame:
 
 
 def mine_rules(baskets: DataFrame, min_support: float, min_confidence: float) -> tuple[DataFrame, DataFrame]:
-    """(frequent itemsets, rules) by parallel FP-growth."""
-    lists = baskets.groupBy("basket").agg(F.collect_set("item").alias("items"))
+    """(frequent itemsets, rules) by parallel FP-growth.
+
+    Items below the support cannot be in a frequent set and are left out of the lists, so
+    a list is no longer than the bounded number of frequent items; every basket stays.
+    """
+    passing = frequent_items(baskets, min_support).select("item", F.lit(True).alias("_ok"))
+    marked = baskets.join(passing, "item", "left")
+    lists = marked.groupBy("basket").agg(F.collect_set(F.when(F.col("_ok"), F.col("item"))).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(lists)
     return model.freqItemsets, model.associationRules
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyrank.functions.hashing import hash_prefix, key_digest
-from tallyrank.operators.ranking import dense_index, position, prefix_slices, top_k
+from tallyrank.operators.ranking import dense_index, position, top_k
 from tallyrank.operators.relational import ordered_items
 
 
@@ -64,10 +64,7 @@ def split_history(inter: DataFrame, share: float = 0.8) -> DataFrame:
 
 def split_positional(df: DataFrame, key: str, first: int = 4000) -> DataFrame:
     """The first rows in key order validate, the rest test."""
-    kind = df.schema[key].dataType.simpleString()
-    numbered = position(
-        df.withColumn("_all", F.lit(0)), ["_all"], [F.col(key)], prefix_slices(key, kind), "_pos"
-    )
+    numbered = position(df.withColumn("_all", F.lit(0)), ["_all"], [F.col(key)], None, "_pos")
     return numbered.withColumn(
         "split", F.when(F.col("_pos") < first, "valid").otherwise("test")
     ).drop("_all", "_pos")
@@ -87,9 +84,5 @@ def label_codes(df: DataFrame, column: str, name: str = "code") -> DataFrame:
 def frequency_vocab(df: DataFrame, column: str, min_count: int = 1) -> DataFrame:
     """(value, n, idx): ids by descending count, ties by value."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_count)
-    kind = counts.schema[column].dataType.simpleString()
-    bucket = F.struct(-F.col("n"), prefix_slices(column, kind))
     everything = counts.withColumn("_all", F.lit(0))
-    return position(
-        everything, ["_all"], [F.desc("n"), F.asc(column)], bucket, "idx"
-    ).drop("_all")
+    return position(everything, ["_all"], [F.desc("n"), F.asc(column)], None, "idx").drop("_all")

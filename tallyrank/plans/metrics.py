@@ -148,8 +148,7 @@ def _(t):
     ranked="""SELECT rating, (rank() OVER (ORDER BY pred) + (count(*) OVER (PARTITION BY pred) - 1) / 2.0) AS avg_rank
               FROM rated"""))
 def _(t):
-    slices = F.floor(F.col("score") * 256)
-    return _round_all(m.roc_auc(_labelled(t), "pred", "label", slices))
+    return _round_all(m.roc_auc(_labelled(t), "pred", "label"))
 
 
 @query("gini_normalized", with_views("brand", """
@@ -161,8 +160,7 @@ def _(t):
               ROWS UNBOUNDED PRECEDING) AS c FROM rated"""))
 def _(t):
     rows = hold(_scored_test(t).withColumn("key", F.concat_ws("-", "user_id", "item_id")))
-    slices = F.floor(-F.col("pred") * 256)
-    return _round_all(m.gini_normalized(rows, "pred", "rating", "key", slices))
+    return _round_all(m.gini_normalized(rows, "pred", "rating", "key"))
 
 
 @query("map_at_n", with_views("brand", """
