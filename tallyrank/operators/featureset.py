@@ -93,8 +93,9 @@ def chi2_scores(rows: DataFrame, k: int) -> DataFrame:
 
 
 def lookup_ids(df: DataFrame, key: str, tags: Column, vocab: DataFrame, unknown: int = -1) -> DataFrame:
-    """(key, pos, id) for each tag of a multi-value field; ``vocab`` is (tag, id)."""
+    """(key, pos, code) for each tag of a multi-value field; ``vocab`` is (tag, id)."""
     spread = df.select(key, F.posexplode(F.filter(tags, lambda x: x != "")).alias("pos", "tag"))
-    return spread.join(vocab, "tag", "left").select(
-        key, "pos", F.coalesce("id", F.lit(unknown)).cast("bigint").alias("id")
+    codes = vocab.select("tag", F.col("id").alias("_code"))
+    return spread.join(codes, "tag", "left").select(
+        key, "pos", F.coalesce("_code", F.lit(unknown)).cast("bigint").alias("code")
     )

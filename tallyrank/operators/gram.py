@@ -88,16 +88,20 @@ def pair_sums(
 
     ``value`` is the sum over shared groups of x_a * x_b (1 without ``value``) and ``n``
     the number of shared groups. (group, member) must be distinct. The group sizes are
-    measured first, so the blocked path is planned only when some group needs it.
+    measured first and the blocked path is planned only for groups it serves better: a row
+    of a group of s members makes s / 2 joined rows, or one row per member block.
     """
     x = F.col(value).cast("double") if value else F.lit(1.0)
     rows = hold(entries.select(F.col(group).alias("g"), F.col(member).alias("m"), x.alias("x")))
-    hot = rows.groupBy("g").agg(F.count(F.lit(1)).alias("_size")).where(F.col("_size") > heavy)
+    hot = hold(rows.groupBy("g").agg(F.count(F.lit(1)).alias("_size")).where(F.col("_size") > heavy))
     n_hot = hot.count()
-    light = rows
+    members = 0
     if n_hot:
-        hot = hold(hot.select("g"))
-        light = rows.join(hot, "g", "left_anti")
+        members = rows.agg(F.approx_count_distinct("m")).first()[0]
+        limit = max(heavy, 2 * _blocks(members, block))
+        hot = hot.where(F.col("_size") > limit).select("g")
+        n_hot = hot.count()
+    light = rows.join(hot, "g", "left_anti") if n_hot else rows
     left = light.select("g", F.col("m").alias("a"), F.col("x").alias("xa"))
     right = light.select("g", F.col("m").alias("b"), F.col("x").alias("xb"))
     pairs = (
@@ -107,7 +111,6 @@ def pair_sums(
     )
     if n_hot:
         dense = rows.join(hot, "g", "left_semi")
-        members = dense.agg(F.approx_count_distinct("m")).first()[0]
         pairs = pairs.unionByName(heavy_pairs(dense, members, n_hot, block, chunk))
     return pairs.groupBy("a", "b").agg(F.sum("value").alias("value"), F.sum("n").alias("n"))
 
@@ -157,13 +160,18 @@ def product_sums(
     left, right = hold(left), hold(right)
     lsize = left.groupBy("g").agg(F.count(F.lit(1)).alias("_l"))
     rsize = right.groupBy("g").agg(F.count(F.lit(1)).alias("_r"))
-    hot = lsize.join(rsize, "g").where(
-        F.col("_l") * F.col("_r") > F.lit(float(heavy)) * heavy
-    ).select("g")
+    joined_rows = F.col("_l").cast("double") * F.col("_r")
+    hot = hold(lsize.join(rsize, "g").where(joined_rows > float(heavy) * heavy))
     n_hot = hot.count()
+    lblocks = rblocks = 1
+    if n_hot:
+        lblocks = _blocks(left.agg(F.approx_count_distinct("a")).first()[0], block)
+        rblocks = _blocks(right.agg(F.approx_count_distinct("b")).first()[0], block)
+        dealt_rows = F.col("_l") * rblocks + F.col("_r") * lblocks
+        hot = hot.where(joined_rows > 2 * dealt_rows).select("g")
+        n_hot = hot.count()
     lrows, rrows = left, right
     if n_hot:
-        hot = hold(hot)
         lrows, rrows = left.join(hot, "g", "left_anti"), right.join(hot, "g", "left_anti")
     parts = (
         lrows.withColumnRenamed("x", "_x")
@@ -171,20 +179,18 @@ def product_sums(
         .select("a", "b", (F.col("_x") * F.col("x")).alias("value"))
     )
     if n_hot:
-        parts = parts.unionByName(_heavy_product(left, right, hot, n_hot, block, chunk))
+        parts = parts.unionByName(_heavy_product(left, right, hot, lblocks, rblocks, _blocks(n_hot, chunk)))
     return parts.groupBy("a", "b").agg(F.sum("value").alias("value"))
 
 
-def _heavy_product(left, right, hot, n_hot: int, block: int, chunk: int) -> DataFrame:
+def _heavy_product(left, right, hot, lblocks: int, rblocks: int, chunks: int) -> DataFrame:
     ltype = left.schema["a"].dataType.simpleString()
     rtype = right.schema["b"].dataType.simpleString()
     lrows = left.join(hot, "g", "left_semi").select("g", F.col("a").alias("m"), "x")
     rrows = right.join(hot, "g", "left_semi").select("g", F.col("b").alias("m"), "x")
-    lblocks = _blocks(lrows.agg(F.approx_count_distinct("m")).first()[0], block)
-    rblocks = _blocks(rrows.agg(F.approx_count_distinct("m")).first()[0], block)
 
     def chunk_of(column):
-        return F.pmod(F.xxhash64(column), F.lit(_blocks(n_hot, chunk))).cast("int")
+        return F.pmod(F.xxhash64(column), F.lit(chunks)).cast("int")
 
     # own column names on each side: both may come from one table
     rrows = rrows.select(F.col("g").alias("h"), F.col("m").alias("w"), F.col("x").alias("y"))

@@ -198,7 +198,8 @@ def content_scores(inter: DataFrame, features: DataFrame, rate: float = 0.001) -
 
     The mean over rated items c of (x.c + rate) / (|x| |c|) equals
     (x . sum c/|c| + rate * sum 1/|c|) / (n |x|): one profile vector per user replaces
-    the users x items x rated-items triples.
+    the users x items x rated-items triples. Items sharing no feature with anything the
+    user rated all have the bare rate term and are not listed.
     """
     norms = features.groupBy("item_id").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
     history = inter.select("user_id", "item_id").join(norms, "item_id")

@@ -226,7 +226,7 @@ def _(t):
     WITH vocab AS (SELECT tag, row_number() OVER (ORDER BY tag) AS id
                    FROM (SELECT DISTINCT split_part(p_name, ' ', 1) AS tag FROM part)),
     tags AS (SELECT p_partkey, unnest(generate_series(0, 1)) AS pos, unnest(string_split(p_name, ' ')) AS tag FROM part)
-    SELECT p_partkey, pos, coalesce(id, -1) AS id FROM tags LEFT JOIN vocab USING (tag)""")
+    SELECT p_partkey, pos, coalesce(id, -1) AS code FROM tags LEFT JOIN vocab USING (tag)""")
 def _(t):
     names = t.part.select("p_partkey", F.regexp_replace("p_name", " ", "|").alias("tags"))
     first = t.part.select(F.element_at(F.split("p_name", " "), 1).alias("tag"))

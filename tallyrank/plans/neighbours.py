@@ -192,8 +192,12 @@ def _(t):
 
 
 @query("content_user_scores", with_views(
-    "brand", """SELECT b.user_id, c.i AS item_id, round(avg(c.w), 6) AS score FROM brand b JOIN cos c ON c.j = b.item_id
-    WHERE NOT EXISTS (SELECT 1 FROM brand s WHERE s.user_id = b.user_id AND s.item_id = c.i) GROUP BY 1, 2""", **FEATURES))
+    "brand", """SELECT b.user_id, x.item_id, round(avg((coalesce(d.d, 0) + 0.001) / (x.norm * c.norm)), 6) AS score
+    FROM brand b JOIN norms c ON c.item_id = b.item_id CROSS JOIN norms x
+    LEFT JOIN dots d ON d.i = x.item_id AND d.j = b.item_id
+    WHERE NOT EXISTS (SELECT 1 FROM brand s WHERE s.user_id = b.user_id AND s.item_id = x.item_id)
+    GROUP BY 1, 2 HAVING sum(coalesce(d.d, 0)) > 0""", **FEATURES,
+    dots="SELECT a.item_id AS i, b.item_id AS j, sum(a.x * b.x) AS d FROM feat a JOIN feat b USING (feature) GROUP BY 1, 2"))
 def _(t):
     return _rounded(nb.content_scores(t.brand_ratings, _brand_features(t)), "score")
 
