@@ -12,7 +12,9 @@ from tallyrank.operators import sampling as sp
 from tallyrank.operators import slim
 from tallyrank.operators import vectors as vec
 from tallyrank.operators.splits import last_items
+from tallyrank.plans import chains
 from tallyrank.plans.registry import REGISTRY, with_views
+from tallyrank.plans.sequences import DRAWS, IDX, KEEP, LAST, TRIES
 from tallyrank.session import hold
 
 query = REGISTRY.query
@@ -28,20 +30,34 @@ def _long(side, factors, k):
 
 
 def _both(left, right, k):
-    return _long("user", left, k).unionByName(_long("item", right, k))
+    return _long("user", left, k).unionByName(_long("item", right, k)).withColumn("x", F.round("x", 6))
+
+
+ENTRIES = "SELECT user_id AS row, item_id AS col, rating AS x FROM {}"
+ALS = chains.als(5, ENTRIES.format("train"))
+MF = chains.gradient(5, ENTRIES.format("train"), 10, 0.01, 0.02, False)
+BIASED = chains.gradient(5, ENTRIES.format("train"), 10, 0.01, 0.02, True)
+NMF = chains.nmf(5, ENTRIES.format("brand"))
+BPR = {
+    "idx": IDX, "held": LAST, "pos": "SELECT user_id, item_id FROM inter ANTI JOIN held USING (user_id, item_id)",
+    "tries": TRIES.format(src="pos", last=35), "draws": DRAWS,
+    **chains.bpr(4, f"SELECT user_id, item_id, neg FROM ({KEEP.format(src='draws', n=1)})", 10, 0.05, 1e-4),
+}
+DOT = " + ".join(f"u.f{d} * v.f{d}" for d in range(10))
 
 
 def _recs(left, right, seen, k, n=10):
     users, items = fa.scoring_vectors(left, right, k)
-    return vec.best_unseen_by_vectors(users, items, seen, n).select("user_id", "item_id", "rank", "score")
+    recs = vec.best_unseen_by_vectors(users, items, seen, n)
+    return recs.select("user_id", "item_id", "rank", F.round("score", 6).alias("score"))
 
 
-@query("als_zero_imputed")
+@query("als_zero_imputed", with_views("train", chains.both_sides(5, 3), **ALS))
 def _(t):
     return _both(*fa.als_zero_imputed(_entries(t.train), 3, 5), 3)
 
 
-@query("als_recommend")
+@query("als_recommend", with_views("train", chains.top_items(5, 3, 10, "train", False, "user_id", "item_id"), **ALS))
 def _(t):
     left, right = fa.als_zero_imputed(_entries(t.train), 3, 5)
     return _recs(left, right, t.train, 3)
@@ -52,26 +68,30 @@ def _(t):
     return fa.als_mllib(t.train)
 
 
-@query("mf_sgd")
+@query("mf_sgd", with_views("train", chains.both_sides(5, 10), **MF))
 def _(t):
     left, right, _mean = fa.mf_gradient(_entries(t.train), 10, 5)
     return _both(left, right, 10)
 
 
-@query("mf_biased")
+@query("mf_biased", with_views("train test", f"""
+    SELECT t.user_id AS row, t.item_id AS col, t.rating AS x, round(least(greatest(c + u.bias + v.bias + {DOT}, 1), 5), 6) AS pred
+    FROM test t JOIN u5 u ON u.id = t.user_id JOIN v5 v ON v.id = t.item_id, center""", **BIASED))
 def _(t):
     left, right, mean = fa.mf_gradient(_entries(t.train), 10, 5, biased=True)
-    return fa.predict_entries(_entries(t.test), left, right, 10, mean, 1.0, 5.0)
+    scored = fa.predict_entries(_entries(t.test), left, right, 10, mean, 1.0, 5.0)
+    return scored.withColumn("pred", F.round("pred", 6))
 
 
-@query("mf_recommend")
+@query("mf_recommend", with_views("train", chains.top_items(5, 10, 10, None, True, "query", "id"), **BIASED))
 def _(t):
     left, right, _mean = fa.mf_gradient(_entries(t.train), 10, 5, biased=True)
     users, items = fa.scoring_vectors(left, right, 10)
-    return vec.nearest(users.withColumnRenamed("user_id", "query"), items, 10)
+    found = vec.nearest(users.withColumnRenamed("user_id", "query"), items, 10)
+    return found.select("query", "id", "rank", F.round("score", 6).alias("score"))
 
 
-@query("bpr_mf")
+@query("bpr_mf", with_views("inter", chains.both_sides(4, 10), **BPR))
 def _(t):
     triples = sp.bpr_triples(t.interactions, last_items(t.interactions), t.item_category)
     users, items = fa.bpr_factors(triples, 10, 4)
@@ -86,7 +106,7 @@ def _(t):
     return fa.predict_entries(entries, scaled, right, 15)
 
 
-@query("nmf")
+@query("nmf", with_views("brand", chains.both_sides(5, 2), **NMF))
 def _(t):
     return _both(*fa.nmf(_entries(t.brand_ratings), 2, 5), 2)
 

@@ -8,6 +8,7 @@ from tallyrank.operators import bandit
 from tallyrank.operators import profiles as pf
 from tallyrank.operators import walks as wk
 from tallyrank.operators.relational import history_chunks
+from tallyrank.plans.chains import symmetric_inverse
 from tallyrank.plans.neighbours import SUPPLIER_EDGES, supplier_edges
 from tallyrank.plans.registry import REGISTRY, with_views
 from tallyrank.sources.tables import epoch_seconds
@@ -134,11 +135,22 @@ def _(t):
     return state.withColumn("x", F.round("x", 6))
 
 
-@query("linucb_scores")
+@query("linucb_scores", f"""WITH {BANDIT_LOG}, s AS MATERIALIZED (SELECT arm,
+      {", ".join(f"sum(x{i} * x{j}) + {int(i == j)} AS a{i}{j}" for i in range(3) for j in range(i + 1))},
+      {", ".join(f"sum(CASE WHEN reward = 1 THEN 0.6 ELSE -16 END * x{i}) AS b{i}" for i in range(3))} FROM log GROUP BY 1),
+    d AS (SELECT arm, {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in
+          [f"a{i}{j}" for i in range(3) for j in range(i + 1)] + ["b0", "b1", "b2"])} FROM s),
+    inv AS MATERIALIZED (SELECT arm, b0, b1, b2, {symmetric_inverse()} FROM d),
+    scored AS (SELECT event_id, inv.arm,
+      {" + ".join(f"i{i}{j} * b{j} * x{i}" for i in range(3) for j in range(3))}
+      + 0.25 * sqrt({" + ".join(f"i{i}{j} * x{i} * x{j}" for i in range(3) for j in range(3))}) AS score FROM log, inv)
+    SELECT event_id, arm, round(score, 6) AS score FROM (SELECT *, row_number() OVER (
+      PARTITION BY event_id ORDER BY round(score, 9) DESC, arm) AS r FROM scored) WHERE r = 1""")
 def _(t):
     log = _log(t)
     state = bandit.linucb_theta(bandit.linucb_sums(log, "arm", FEATURES, "reward"), len(FEATURES))
-    return bandit.linucb_scores(log, "event_id", FEATURES, state)
+    best = bandit.linucb_scores(log, "event_id", FEATURES, state)
+    return best.withColumn("score", F.round("score", 6))
 
 
 @query("stream_linucb_state", _state_sql())
