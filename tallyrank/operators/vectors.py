@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import PCA, BucketedRandomProjectionLSH, StandardScaler
+from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -116,19 +116,44 @@ def best_unseen_by_vectors(users: DataFrame, items: DataFrame, seen: DataFrame,
     return best_unseen(found, seen, n)
 
 
-def nearest_approx(vectors: DataFrame, k: int, tables: int = 10, bucket: float = 0.5, reach: float = 1.2, seed: int = 11) -> DataFrame:
-    """(query, id, score, rank): approximate ``k`` nearest by angle, by projection hashing.
+def _plane_codes(tables: int, bits: int, dims: int, seed: int):
+    planes = np.random.default_rng(seed).normal(size=(tables, bits, dims))
+    weights = 1 << np.arange(bits, dtype=np.int64)
 
-    Unit vectors are hashed, colliding pairs within ``reach`` are ranked by exact distance.
+    @F.pandas_udf("array<bigint>")
+    def codes(vectors: pd.Series) -> pd.Series:
+        m = np.stack(vectors.to_numpy()).astype(np.float64)
+        signs = np.einsum("nd,tbd->ntb", m, planes) > 0
+        return pd.Series(list((signs * weights).sum(axis=2).astype(np.int64)))
+
+    return codes
+
+
+def nearest_approx(vectors: DataFrame, k: int, tables: int = 10, leaf: int = 128, seed: int = 11, block: int = BLOCK_ROWS) -> DataFrame:
+    """(query, id, score, rank): approximate ``k`` nearest by angle from ``tables`` random splits.
+
+    Each split cuts the space by random planes into cells of about ``leaf`` vectors; cells
+    are searched exactly and the best over all splits are kept. A crowded cell is dealt to
+    sub-blocks and searched block by block, so its pairs never become rows.
     """
-    units = unit_vectors(vectors).select("id", array_to_vector("vec").alias("features"))
-    model = BucketedRandomProjectionLSH(
-        inputCol="features", outputCol="hashes", bucketLength=bucket, numHashTables=tables, seed=seed).fit(units)
-    pairs = model.approxSimilarityJoin(units, units, reach, distCol="dist")
-    rows = pairs.select(
-        F.col("datasetA.id").alias("query"), F.col("datasetB.id").alias("id"),
-        (1.0 - F.col("dist") * F.col("dist") / 2.0).alias("score"))
-    return top_k(rows, ["query"], [F.desc(F.round("score", TIE_DIGITS)), F.asc("id")], k)
+    units = hold(unit_vectors(vectors).select("id", "vec"))
+    bits = max(0, (units.count() // leaf).bit_length() - 1)
+    coded = units.withColumn("codes", _plane_codes(tables, bits, dimension(units, "vec"), seed)("vec"))
+    placed = hold(coded.select("id", "vec", F.posexplode("codes").alias("table", "code")))
+    sizes = placed.groupBy("table", "code").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("subs"))
+    rows = hold(placed.join(sizes, ["table", "code"]).withColumn(
+        "home", F.pmod(F.xxhash64("id"), F.col("subs")).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("subs") - 1))))
+    left = rows.select("table", "code", F.col("home").alias("qb"), F.col("other").alias("bb"),
+                       F.col("id").alias("query"), F.col("vec").alias("qvec"), F.lit(k).alias("k"))
+    right = rows.select(F.col("table").alias("t"), F.col("code").alias("c"), F.col("other").alias("ob"),
+                        F.col("home").alias("hb"), "id", "vec")
+    kind = units.schema["id"].dataType.simpleString()
+    mine, theirs = left.groupBy("table", "code", "qb", "bb"), right.groupBy("t", "c", "ob", "hb")
+    found = mine.cogroup(theirs).applyInPandas(
+        _search_cell("ip"), f"query {kind}, id {kind}, score double")
+    best = found.groupBy("query", "id").agg(F.max("score").alias("score"))
+    return top_k(best, ["query"], [F.desc(F.round("score", TIE_DIGITS)), F.asc("id")], k)
 
 
 def merge_interests(found: DataFrame, n: int, skip_item=0) -> DataFrame:

@@ -222,9 +222,15 @@ def _(t):
     return ln.pairwise_statistics(_pair_rows(t), "o_custkey", PAIR_FEATURES).withColumn("x", F.round("x", 4))
 
 
-@query("pairwise_rank")
+@query("pairwise_rank", """
+    WITH rows AS (SELECT o_custkey AS g, o_totalprice / 1e5 AS x0, month(o_orderdate) / 12.0 AS x1,
+                         o_orderstatus = 'F' AS y FROM orders),
+    pairs AS MATERIALIZED (SELECT p.x0 - q.x0 AS d0, p.x1 - q.x1 AS d1 FROM rows p JOIN rows q ON p.g = q.g AND p.y AND NOT q.y),
+    s AS (SELECT sum(d0 * d0) + 1 AS a, sum(d0 * d1) AS b, sum(d1 * d1) + 1 AS c, sum(d0) AS u, sum(d1) AS v FROM pairs)
+    SELECT unnest(['price', 'month']) AS feature,
+           round(unnest([(c * u - b * v) / (a * c - b * b), (a * v - b * u) / (a * c - b * b)]), 6) AS weight FROM s""")
 def _(t):
-    return ln.pairwise_rank(_pair_rows(t), "o_custkey", PAIR_FEATURES)
+    return ln.pairwise_rank(_pair_rows(t), "o_custkey", PAIR_FEATURES).withColumn("weight", F.round("weight", 6))
 
 
 @query("ctcvr_compose", """

@@ -28,10 +28,12 @@ def state_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def read_files(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_files(spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None) -> DataFrame:
     """A file stream over one parquet file or a folder of them."""
     folder, name = os.path.split(path.rstrip("/"))
     reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if name.endswith(".parquet"):
         return reader.option("pathGlobFilter", name).parquet(folder)
     return reader.parquet(path)
@@ -64,30 +66,41 @@ def stream_arm_sums(
 def stream_profile_upsert(
     spark: SparkSession, path: str, schema: StructType, to_changes: Callable[[DataFrame], DataFrame],
     base: DataFrame, key: str, version: list[str], payload: list[str], op: str = "op",
+    buckets: int = 64, files_per_batch: int | None = None,
 ) -> DataFrame:
-    """Profiles after a stream of changes, each micro-batch merged into the last version.
+    """Profiles after a stream of changes.
 
-    Deletes stay as markers between batches, so a late older change cannot bring a key
-    back. A batch writes version n + 1 from version n, which makes a replayed batch
-    harmless.
+    The profiles lie in hash buckets of the key, and a micro-batch rewrites only the
+    buckets its keys fall into. Merging keeps the newest version per key, so a replayed
+    batch changes nothing; deletes stay as markers, so a late older change cannot bring
+    a key back.
     """
     out = state_folder(spark, "profiles")
     columns = [key, *version, op, *payload]
-    base.select(columns).write.mode("overwrite").parquet(f"{out}/v=0")
-    last = {"version": 0}
+
+    def bucketed(df: DataFrame) -> DataFrame:
+        return df.select(columns).withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+
+    def save(df: DataFrame) -> None:
+        writer = bucketed(df).repartition("bucket").write.mode("overwrite").partitionBy("bucket")
+        writer.option("partitionOverwriteMode", "dynamic").parquet(out)
+
+    save(profiles.latest_versions(base, key, version, [op, *payload]))
+    kept = spark.read.parquet(out).schema
 
     def merge(batch: DataFrame, number: int) -> None:
-        current = spark.read.parquet(f"{out}/v={number}")
-        both = current.select(columns).unionByName(batch.select(columns))
-        latest = profiles.latest_versions(both, key, version, [op, *payload])
-        latest.select(columns).write.mode("overwrite").parquet(f"{out}/v={number + 1}")
-        last["version"] = number + 1
+        changes = bucketed(batch).persist()
+        touched = changes.select("bucket").distinct()
+        current = spark.read.schema(kept).parquet(out).join(touched, "bucket", "left_semi")
+        both = current.select(columns).unionByName(changes.select(columns))
+        save(profiles.latest_versions(both, key, version, [op, *payload]))
+        changes.unpersist()
 
     run = (
-        to_changes(read_files(spark, path, schema)).writeStream.foreachBatch(merge)
+        to_changes(read_files(spark, path, schema, files_per_batch)).writeStream.foreachBatch(merge)
         .option("checkpointLocation", state_folder(spark, "profile-checkpoint"))
         .trigger(availableNow=True).start()
     )
     run.awaitTermination()
-    final = spark.read.parquet(f"{out}/v={last['version']}")
-    return final.where(F.col(op) != "delete").drop(op)
+    final = spark.read.schema(kept).parquet(out)
+    return final.where(F.col(op) != "delete").select(key, *version, *payload)

@@ -110,6 +110,20 @@ def test_nearest_is_exact(spark, metric, block):
         assert [i for _, i in mine] == list(np.argsort(-scores[q], kind="stable")[:5])
 
 
+@pytest.mark.parametrize("block", [10, 1000])
+def test_approximate_neighbours_find_most_of_the_exact(spark, block):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(8, 12))
+    m = np.concatenate([centres[c] + 0.4 * rng.normal(size=(60, 12)) for c in range(8)])
+    df = spark.createDataFrame([(k, m[k].tolist()) for k in range(len(m))], "id LONG, vec ARRAY<DOUBLE>")
+    units = vec.unit_vectors(df)
+    exact = {(r["query"], r.id) for r in vec.nearest(units.withColumnRenamed("id", "query"), units, 10).collect()}
+    got = vec.nearest_approx(df, 10, leaf=60, block=block).collect()
+    found = {(r["query"], r.id) for r in got}
+    assert len(exact & found) / len(exact) > 0.9
+    assert all((k, k) in found for k in range(len(m)))
+
+
 def test_vector_recommendations_skip_seen(spark):
     m, df = _vectors(spark)
     seen = {(q, (q + s) % 40) for q in range(40) for s in range(q)}

@@ -80,6 +80,23 @@ def test_stream_state_equals_batch(spark, tables):
     assert np.allclose(got.drop(columns="arm"), batch.drop(columns="arm"))
 
 
+def test_stream_upsert_over_several_batches(spark, tmp_path):
+    schema = "k LONG, v LONG, op STRING, x STRING"
+    base = spark.createDataFrame([(k, 0, "upsert", "base") for k in range(20)], schema)
+    batches = [[(1, 2, "upsert", "new"), (2, 5, "delete", ""), (30, 1, "upsert", "added")],
+               [(1, 1, "upsert", "late"), (2, 4, "upsert", "late"), (3, 9, "upsert", "three")]]
+    for n, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / f"part{n}"))
+        for file in (tmp_path / f"part{n}").glob("*.parquet"):
+            (tmp_path / "in").mkdir(exist_ok=True)
+            (tmp_path / "in" / f"{n}-{file.name}").write_bytes(file.read_bytes())
+    got = twins.stream_profile_upsert(
+        spark, str(tmp_path / "in"), base.schema, lambda df: df, base, "k", ["v"], ["x"], buckets=4, files_per_batch=1)
+    want = {k: (0, "base") for k in range(20)} | {1: (2, "new"), 30: (1, "added"), 3: (9, "three")}
+    del want[2]
+    assert {r.k: (r.v, r.x) for r in got.collect()} == want
+
+
 def test_skip_gram_covers_every_node(graph):
     sentences = wk.walk_sentences(wk.uniform_walks(graph, 5, 4))
     rows = wk.skip_gram(sentences, 8, 3).collect()
