@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyrank.operators.ranking import dense_index, position, previous_value, top_k
+from tallyrank.session import hold
 
 MONTH = 30 * 86400
 
@@ -83,7 +84,7 @@ def unseen_runs(inter: DataFrame, items: DataFrame, slice_items: int = 4096) ->
     total = index.agg(F.count(F.lit(1))).scalar()
     marks = seen.select("user_id", "pos").distinct()
     ends = marks.select("user_id").distinct().withColumn("pos", total)
-    both = marks.unionByName(ends)
+    both = hold(marks.unionByName(ends))
     bucket = F.floor(F.col("pos") / slice_items)
     gaps = previous_value(both, ["user_id"], "pos", bucket, "_prev", -1)
     return gaps.where(F.col("pos") > F.col("_prev") + 1).select(
