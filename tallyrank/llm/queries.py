@@ -8,13 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrank.llm import packing, repetition, secrets, topk
+from tallyrank.llm import packing, pieces, repetition, secrets, topk
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every document, and whether decoding them gives its text (its mark characters as spaces)."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    found = pieces.decode_documents(pieces.encode_documents(_table(spark, folder, "documents"), path), path)
+    same = F.col("decoded").eqNullSafe(F.translate("text", pieces.MARK, " "))
+    return found.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("bigint").alias("n_ids"), "ids", same.alias("round_trip"))
+
+
 def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -43,7 +51,7 @@ def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_packing, op3_topk, op4_repetition, op5_secrets)
+    f.__name__: f for f in (op1_pieces, op2_packing, op3_topk, op4_repetition, op5_secrets)
 }
 
 SQL: dict[str, str] = {
