@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrank.llm import packing, pieces, repetition, secrets, topk
+from tallyrank.llm import packing, pieces, quality, repetition, secrets, topk, toxicity
+from tallyrank.llm.common import crc_remainder
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -50,8 +51,24 @@ def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _marked(scored: DataFrame, least: float) -> DataFrame:
+    return scored.select(
+        "doc_id", (crc_remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "score", (F.col("score") >= least).cast("int").alias("predicted"),
+    )
+
+
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return _marked(quality.score_quality(docs, quality.train_quality(docs, _table(spark, folder, "labels"))), 0.5)
+
+
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return _marked(toxicity.score_toxicity(docs, toxicity.train_toxicity(docs, _table(spark, folder, "labels"))), toxicity.THRESHOLD)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pieces, op2_packing, op3_topk, op4_repetition, op5_secrets)
+    f.__name__: f for f in (op1_pieces, op2_packing, op3_topk, op4_repetition, op5_secrets, op8_quality, op9_toxicity)
 }
 
 SQL: dict[str, str] = {
