@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-import os
+import base64
+import gc
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -47,19 +50,29 @@ def dot_product_bins(vectors: np.ndarray, limits: tuple[int, ...]) -> tuple[np.n
     for k in np.flatnonzero((kinds > cap).any(1)):
         bins[items[k]] = current + np.arange(counts[k])
         current, left[k] = current + counts[k], 0
-    while left.any():
-        room, at = cap.copy(), 0
+    alive = np.flatnonzero(left)
+    while len(alive):
+        room, chosen, spare = cap.copy(), [], left[alive].copy()
+        own, value = kinds[alive], weight[alive]
         while True:
-            open_kinds = np.flatnonzero((left > 0) & (kinds <= room).all(1))
-            if len(open_kinds) == 0:
+            fits = np.flatnonzero((own <= room).all(1) & (spare > 0))
+            if len(fits) == 0:
                 break
-            k = open_kinds[np.argmax(weight[open_kinds] @ (room / cap))]
-            left[k] -= 1
-            item = items[k][left[k]]
-            bins[item], place[item] = current, at
-            room -= kinds[k]
-            at += 1
-        current += 1
+            k = fits[np.argmax(value[fits] @ (room / cap))]
+            spare[k] -= 1
+            room -= own[k]
+            chosen.append(k)
+        # What is chosen depends on the room and on which types are left, so while all types of this
+        # bin last the next bins are filled alike.
+        used, often = np.unique(chosen, return_counts=True)
+        alike = int((left[alive[used]] // often).min())
+        for at, k in enumerate(chosen):
+            kind = alive[k]
+            taken = items[kind][left[kind] - alike : left[kind]]
+            left[kind] -= alike
+            bins[taken], place[taken] = current + np.arange(alike), at
+        current += alike
+        alive = alive[left[alive] > 0]
     return bins, place
 
 
@@ -118,44 +131,46 @@ class _Units:
 
     CUT = re.compile(r" (?=\S)")
 
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+    def __init__(self, ranks_path: str, pattern: str):
+        import tiktoken
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        with open(ranks_path, "rb") as lines:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        self.tokenizer = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.ids: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        units = []
-        for t in texts:
-            head, *rest = self.CUT.split(t)
-            units.append((head, rest))
-        missing = set().union(*(rest for _, rest in units)) - self.ids.keys()
-        if missing:
-            if len(self.ids) + len(missing) > CACHE_UNITS:
-                self.ids = {}
-                missing = set().union(*(rest for _, rest in units))
-            names = list(missing)
-            for begin in range(0, len(names), 20_000):
-                part = names[begin : begin + 20_000]
-                found = self.tokenizer.encode_batch_fast([" " + u for u in part], add_special_tokens=False)
-                self.ids.update((u, np.asarray(e.ids, "<u4").tobytes()) for u, e in zip(part, found, strict=True))
-        heads = self.tokenizer.encode_batch_fast([head for head, _ in units], add_special_tokens=False)
-        get = self.ids.__getitem__
-        return [np.asarray(h.ids, "<u4").tobytes() + b"".join(map(get, rest)) for h, (_, rest) in zip(heads, units, strict=True)]
+        """Native 32-bit ids of each text (little-endian where Spark runs)."""
+        units = [self.CUT.split(t) for t in texts]
+        ids, encode = self.ids, self.tokenizer.encode_ordinary
+        if len(ids) > CACHE_UNITS:
+            ids.clear()
+        gc.disable()  # nothing here makes cycles, and the table is large to walk
+        try:
+            for unit in set().union(*(u[1:] for u in units)) - ids.keys():
+                ids[unit] = array("I", encode(" " + unit)).tobytes()
+        finally:
+            gc.enable()
+        get = ids.__getitem__
+        return [array("I", encode(u[0])).tobytes() + b"".join(map(get, u[1:])) for u in units]
+
+
+@lru_cache(maxsize=1)
+def _units(ranks_path: str, pattern: str) -> _Units:
+    """The tokenizer of this worker process, with the units it remembers from earlier tasks."""
+    return _Units(ranks_path, pattern)
 
 
 def cut_documents(
-    docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: str = "text", size: int = SEQUENCE_TOKENS,
+    docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id", text: str = "text", size: int = SEQUENCE_TOKENS,
 ) -> DataFrame:
     """Pieces of at most ``size`` ids of every document's ids and a closing 0: doc_id, start, length,
-    ids_crc32, doc_tokens. A null text is empty and so one closing id."""
+    ids_crc32, doc_tokens. The ids are those of the byte-level vocabulary in the rank file; ``pattern``
+    splits a text before its merges. A null text is empty and so one closing id."""
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = _Units(tokenizer_path)
+        units = _units(ranks_path, pattern)
         for part in by_bytes(batches):
             rows, start, length, crc, total = [], [], [], [], []
             for row, ids in enumerate(units.encode(texts_of(part))):
@@ -178,7 +193,7 @@ def cut_documents(
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: str = "text", limits: tuple[int, int, int] = LIMITS,
+    docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id", text: str = "text", limits: tuple[int, int, int] = LIMITS,
     group_docs: int = GROUP_DOCS,
 ) -> DataFrame:
     """Documents as training sequences: tokenised, cut at the token limit, the pieces packed.
@@ -187,7 +202,7 @@ def pack_documents(
     ids. Documents are independent of one another: null ids and repeated rows are packed like any
     others, an empty table gives no pieces.
     """
-    pieces = cut_documents(docs, tokenizer_path, doc_id, text, limits[0])
+    pieces = cut_documents(docs, ranks_path, pattern, doc_id, text, limits[0])
     n_groups = groups_for(docs.count(), group_docs)
     rows = pieces.withColumn("sequence_id", F.monotonically_increasing_id())
     loss = F.col("length") - (F.col("start") == 0).cast("bigint")

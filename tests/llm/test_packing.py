@@ -11,6 +11,7 @@ from tokenizers import Tokenizer
 from tallyrank.llm import packing
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
 @settings(max_examples=100, deadline=None)
@@ -36,7 +37,7 @@ def test_bins_leave_little_padding():
 def test_ids_by_units_are_the_tokenizers(texts):
     whole = Tokenizer.from_file(PATH)
     whole.encode_special_tokens = True
-    units = test_ids_by_units_are_the_tokenizers.__dict__.setdefault("units", packing._Units(PATH))
+    units = test_ids_by_units_are_the_tokenizers.__dict__.setdefault("units", packing._Units(*RANKS))
     want = [np.asarray(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
     assert units.encode(texts) == want
 
@@ -68,14 +69,14 @@ def check(pieces, docs):
 def test_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
-    assert check(packing.pack_documents(docs, PATH, group_docs=64).collect(), rows) > 0.93
+    assert check(packing.pack_documents(docs, *RANKS, group_docs=64).collect(), rows) > 0.93
 
 
 def test_awkward_rows(spark, awkward, empty):
-    got = packing.pack_documents(awkward, PATH).collect()
+    got = packing.pack_documents(awkward, *RANKS).collect()
     assert sum(1 for p in got if p.doc_id == 2) == 2
     assert sorted(p.length for p in got if p.doc_id in (1, 2)) == [1, 1, 1]
-    assert packing.pack_documents(empty, PATH).count() == 0
+    assert packing.pack_documents(empty, *RANKS).count() == 0
 
 
 def test_examples_under_three_limits(spark):
@@ -90,5 +91,5 @@ def test_examples_under_three_limits(spark):
 @pytest.mark.parametrize("limits", [(1024, 512, 1024)])
 def test_full_pieces_stand_alone(spark, limits):
     docs = spark.createDataFrame([(1, "word " * 5000)], "doc_id LONG, text STRING")
-    got = packing.pack_documents(docs, PATH, limits=limits).collect()
+    got = packing.pack_documents(docs, *RANKS, limits=limits).collect()
     assert {p.offset for p in got} == {0} and len({p.sequence_id for p in got}) == len(got)
