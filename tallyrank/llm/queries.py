@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrank.llm import packing, pieces, quality, repetition, secrets, topk, toxicity
+from tallyrank.llm import packing, pieces, pii, quality, repetition, secrets, topk, toxicity
 from tallyrank.llm.common import crc_remainder
 
 
@@ -25,7 +25,9 @@ def op1_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack_documents(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    """The rank file holds the vocabulary of byte_bpe_50k.json, so the ids are the same."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return packing.pack_documents(_table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
 
 
 def op3_topk(spark: SparkSession, folder: str) -> DataFrame:
@@ -67,8 +69,19 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return _marked(toxicity.score_toxicity(docs, toxicity.train_toxicity(docs, _table(spark, folder, "labels"))), toxicity.THRESHOLD)
 
 
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    found = pii.find_personal_data(docs, pii.train_spans(docs))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE))
+    return found.select(
+        "doc_id", *(count(kind).alias(f"n_{kind}") for kind in pii.BASE),
+        F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pieces, op2_packing, op3_topk, op4_repetition, op5_secrets, op8_quality, op9_toxicity)
+    f.__name__: f for f in (op1_pieces, op2_packing, op3_topk, op4_repetition, op5_secrets, op8_quality, op9_toxicity, op10_pii)
 }
 
 SQL: dict[str, str] = {
