@@ -8,11 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrank.llm import packing, pieces, pii, quality, repetition, secrets, topk, toxicity
+from tallyrank.llm import jaccard, packing, pieces, pii, quality, repetition, secrets, topk, toxicity
 from tallyrank.llm.common import crc_remainder
 
 
+#: Rows of an Arrow batch, so that a batch of long texts stays within a Python worker's memory.
+BATCH_ROWS = 2000
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -59,6 +64,10 @@ def _marked(scored: DataFrame, least: float) -> DataFrame:
     )
 
 
+def op7_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.join_documents(_table(spark, folder, "documents"))
+
+
 def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return _marked(quality.score_quality(docs, quality.train_quality(docs, _table(spark, folder, "labels"))), 0.5)
@@ -81,10 +90,29 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pieces, op2_packing, op3_topk, op4_repetition, op5_secrets, op8_quality, op9_toxicity, op10_pii)
+    f.__name__: f for f in (op1_pieces, op2_packing, op3_topk, op4_repetition, op5_secrets, op7_jaccard, op8_quality, op9_toxicity, op10_pii)
 }
 
 SQL: dict[str, str] = {
+    "op7_jaccard": r"""
+        WITH RECURSIVE w AS MATERIALIZED (
+            SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS words FROM documents
+        ), s AS MATERIALIZED (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) >= 3 THEN
+                   list_transform(range(1, len(words) - 1), i -> array_to_string(words[i : i + 2], ' '))
+                   WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS shingle FROM w
+        ), n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY 1
+        ), p AS MATERIALIZED (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b USING (shingle)
+            WHERE a.doc_id <> b.doc_id GROUP BY 1, 2
+        ), e AS MATERIALIZED (
+            SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+            WHERE 100 * shared >= 90 * (x.n + y.n - shared)
+        ), r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b
+        )
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+        FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY 1) c USING (doc_id)""",
     "op3_topk": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS vector
