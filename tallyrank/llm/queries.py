@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrank.llm import jaccard, packing, pieces, pii, quality, repetition, secrets, topk, toxicity
+from tallyrank.llm import jaccard, maxent, packing, pieces, pii, quality, repetition, secrets, topk, toxicity
 from tallyrank.llm.common import crc_remainder
 
 
@@ -64,6 +64,10 @@ def _marked(scored: DataFrame, least: float) -> DataFrame:
     )
 
 
+def op6_maxent(spark: SparkSession, folder: str) -> DataFrame:
+    return maxent.score_documents(_table(spark, folder, "documents"))
+
+
 def op7_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.join_documents(_table(spark, folder, "documents"))
 
@@ -90,7 +94,7 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pieces, op2_packing, op3_topk, op4_repetition, op5_secrets, op7_jaccard, op8_quality, op9_toxicity, op10_pii)
+    f.__name__: f for f in (op1_pieces, op2_packing, op3_topk, op4_repetition, op5_secrets, op6_maxent, op7_jaccard, op8_quality, op9_toxicity, op10_pii)
 }
 
 SQL: dict[str, str] = {
