@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import uuid
+import zipfile
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -28,28 +31,55 @@ def build_session(app: str = "tallyrank", master: str | None = None, **conf: str
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder, so a lost executor does not
-    replay every earlier round of an iterative operator.
-
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. A private
-    folder is made only where none is named, as in local tests.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``, which all executors share. A private
+    folder is made only where none is named, as in local tests."""
     context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="tallyrank-checkpoint-")
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="tallyrank-checkpoint-")
         context.setCheckpointDir(folder)
+    return folder
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder, so a lost executor does not replay every earlier
+    round of an iterative operator."""
+    shared_folder(df.sparkSession)
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)  # the write would otherwise run the plan twice
     saved = kept.checkpoint(eager=True)
     kept.unpersist()
     return saved
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a Parquet table of its own in the shared folder and read again."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors, once for each application, so that functions run there
+    wherever the driver was started. Needless, and harmless, where it is installed on all nodes."""
+    context = spark.sparkContext
+    if getattr(context, "_tallyrank_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="tallyrank-package-"), "tallyrank.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(here):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                out.write(path, os.path.relpath(path, os.path.dirname(here)))
+    context.addPyFile(archive)
+    context._tallyrank_shipped = True
+
+
 def hold(df: DataFrame) -> DataFrame:
     """Keep a frame that several branches of one plan read, in executor memory with spill
     to disk. Blocks lost with an executor are computed again from the frame's lineage.

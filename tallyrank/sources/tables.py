@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyrank.functions.hashing import hash_prefix
-from tallyrank.session import hold
+from tallyrank.session import hold, ship_package
 
 TRAIN_LIMIT = "b3"  # first two hex digits below this: about 70% of the rows
 
@@ -32,6 +32,7 @@ class Tables:
     """Lazy readers over one folder of parquet tables."""
 
     def __init__(self, spark: SparkSession, folder: str):
+        ship_package(spark)
         self.spark = spark
         self.folder = folder
 
