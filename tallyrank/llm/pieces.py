@@ -15,7 +15,7 @@ from tallyrank.llm.common import by_bytes, offsets, texts_of
 
 MARK = "▁"
 #: Distinct words a worker remembers the ids of, and pairs of pieces it remembers the verdict on.
-CACHE_WORDS, CACHE_PAIRS = 700_000, 1_000_000
+CACHE_WORDS, CACHE_PAIRS = 250_000, 300_000
 
 
 class PieceModel:

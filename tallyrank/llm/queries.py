@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyrank.llm import jaccard, maxent, packing, pieces, pii, quality, repetition, secrets, topk, toxicity
 from tallyrank.llm.common import crc_remainder
+from tallyrank.session import ship_package
 
 
 #: Rows of an Arrow batch, so that a batch of long texts stays within a Python worker's memory.
@@ -17,6 +18,7 @@ BATCH_ROWS = 2000
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

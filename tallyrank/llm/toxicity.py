@@ -17,11 +17,11 @@ from tallyrank.llm.common import by_bytes, crc_remainder, texts_of, word_bytes
 FEATURES = 1 << 18
 GRAMS = (3, 4, 5, 6)
 #: Features the classifier uses at most: those whose counts differ most between the classes, ...
-USED = 20_000
+USED = 4_000
 #: ... by this many standard errors at least.
 CLEAR = 4.0
 #: Labelled rows the weights are fitted on at most (the counts are of all labelled rows).
-SAMPLE_ROWS = 16_384
+SAMPLE_ROWS = 8_192
 ROUNDS, RATE, DECAY = 200, 0.05, 1e-3
 CACHE_WORDS = 1_000_000
 THRESHOLD = 0.7
@@ -152,6 +152,7 @@ def train_toxicity(
     ids, counts = np.concatenate(ids), np.concatenate([np.frombuffer(r.counts, np.int32) for r in found])
     r = ratio[chosen]
     value = counts * r[ids]
+    del found, counts
     weight, first, second = np.zeros((3, len(chosen) + 1))
     weight[-1] = bias
     for step in range(1, ROUNDS + 1):

@@ -1,42 +1,12 @@
 import hashlib
 import random
-import re
 
 from pyspark.sql import functions as F
 
 from tallyrank.llm import pii
 from tallyrank.llm.queries import op10_pii
-
-PLAIN = {
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
-    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
-    "card": r"[0-9]([\x20-]?[0-9])+",
-    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-}
-
-
-def luhn(digits):
-    total = 0
-    for k, d in enumerate(reversed(digits)):
-        x = int(d) * (1 + k % 2)
-        total += x - 9 if x > 9 else x
-    return total % 10 == 0
-
-
-def brute(text):
-    out = []
-    for kind, pattern in PLAIN.items():
-        for m in re.finditer(pattern, text):
-            digits = re.sub("[^0-9]", "", m[0])
-            if kind == "ip" and any(int(p) > 255 for p in m[0].split(".")):
-                continue
-            if kind == "card" and not (16 <= len(digits) <= 19 and luhn(digits)):
-                continue
-            if kind == "phone" and not 8 <= len(digits) <= 15:
-                continue
-            out.append((kind, m.start(), m.end()))
-    return out
-
+from tests_llm_brute import PLAIN
+from tests_llm_brute import personal as brute
 
 def found(spark, texts, model=None):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING")
