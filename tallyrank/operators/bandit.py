@@ -48,22 +48,19 @@ def linucb_state(sums: DataFrame, d: int) -> DataFrame:
 def _solve(d: int):
     def solve(frames):
         for pdf in frames:
-            out = []
-            for row in pdf.to_dict("records"):
-                a = np.eye(d)
-                for i in range(d):
-                    for j in range(i + 1):
-                        a[i, j] = a[j, i] = row[f"a_{i}_{j}"] + (1.0 if i == j else 0.0)
-                inverse = np.linalg.inv(a)
-                theta = inverse @ np.array([row[f"b_{i}"] for i in range(d)])
-                out.append((row["arm"], theta.tolist(), inverse.ravel().tolist()))
-            yield pd.DataFrame(out, columns=["arm", "theta", "inverse"])
+            a = np.zeros((len(pdf), d, d))
+            for i in range(d):
+                for j in range(i + 1):
+                    a[:, i, j] = a[:, j, i] = pdf[f"a_{i}_{j}"].to_numpy(float)
+            inverse = np.linalg.inv(a + np.eye(d))
+            theta = (inverse @ pdf[[f"b_{i}" for i in range(d)]].to_numpy(float)[:, :, None])[:, :, 0]
+            yield pd.DataFrame({"arm": pdf["arm"], "theta": list(theta), "inverse": list(inverse.reshape(len(pdf), -1))})
 
     return solve
 
 
 def linucb_theta(sums: DataFrame, d: int) -> DataFrame:
-    """(arm, theta, inverse): one small solve per arm row."""
+    """(arm, theta, inverse): the small systems of a batch of arms solved together."""
     return sums.mapInPandas(_solve(d), "arm string, theta array<double>, inverse array<double>")
 
 

@@ -59,6 +59,11 @@ def _times(matrix: np.ndarray, k: int) -> list[Column]:
     ]
 
 
+def _padded(columns: list[Column], k: int) -> list[Column]:
+    """``columns`` and zeros up to f{k-1}, for a matrix of a lower rank."""
+    return [*columns, *(F.lit(0.0).alias(f"f{d}") for d in range(len(columns), k))]
+
+
 def _weighted_sums(entries: DataFrame, factors: DataFrame, own: str, other: str, k: int) -> DataFrame:
     """(id, f...): sum of x * factor of ``other`` over the entries of each ``own``."""
     joined = entries.join(factors.withColumnRenamed("id", other), other)
@@ -111,29 +116,36 @@ def _orthonormal(factors: DataFrame, k: int) -> DataFrame:
     return factors.select("id", *_times(vectors @ np.diag(values ** -0.5), k))
 
 
-def subspace_svd(entries: DataFrame, k: int, rounds: int = 6) -> tuple[DataFrame, DataFrame, list[float]]:
+def subspace_svd(entries: DataFrame, k: int, tol: float = 1e-7, extra: int = 10) -> tuple[DataFrame, DataFrame, list[float]]:
     """(left, right, singular values): the leading ``k`` of the sparse matrix (row, col, x).
 
-    Block power iteration: two weighted sums per round over the observed entries, with
-    an orthonormalisation through a k x k matrix; neither side's vectors visit the driver.
+    Block power iteration on ``k + extra`` columns: two weighted sums per round over the
+    observed entries, with an orthonormalisation through a small matrix; neither side's
+    vectors visit the driver. Rounds go on until none of the leading ``k`` residuals
+    |A'Av - s^2 v|, read off two small Gram matrices, exceeds ``tol`` times the largest s^2.
     """
     entries = hold(entries.select("row", "col", "x"))
-    right = start_factors(entries.select(F.col("col").alias("id")).distinct(), k).select(
-        "id", *[(F.col(f) - 0.5).alias(f) for f in names(k)])
-    right = cut_lineage(_orthonormal(hold(right), k))
-    for _ in range(rounds):
-        left = _weighted_sums(entries, right, "row", "col", k)
-        right = cut_lineage(_weighted_sums(entries, left, "col", "row", k))
-        right = hold(_orthonormal(right, k))
-    image = cut_lineage(_weighted_sums(entries, right, "row", "col", k))
-    values, vectors = np.linalg.eigh(_gram(image, k))
-    order = np.argsort(-values)
-    values, vectors = np.maximum(values[order], 0.0), vectors[:, order]
+    sides = [entries.select(F.col(side).alias("id")).distinct() for side in ("col", "row")]
+    width = max(1, min(k + extra, *(ids.count() for ids in sides)))
+    right = start_factors(sides[0], width).select("id", *[(F.col(f) - 0.5).alias(f) for f in names(width)])
+    right = cut_lineage(_orthonormal(hold(right), width))
+    while True:
+        image = hold(_weighted_sums(entries, right, "row", "col", width))
+        values, vectors = np.linalg.eigh(_gram(image, width))
+        order = np.argsort(-values)
+        values, vectors = np.maximum(values[order], 0.0), vectors[:, order]
+        ahead = cut_lineage(_weighted_sums(entries, image, "col", "row", width))
+        # |A'Av|^2 - s^4 is the squared residual of a Ritz vector v
+        residual = np.diag(vectors.T @ _gram(ahead, width) @ vectors) - values ** 2
+        if np.sqrt(np.maximum(residual[:k], 0.0)).max(initial=0.0) <= max(tol, 3e-8) * max(values[0], 1e-300):
+            break
+        image.unpersist()
+        right = cut_lineage(_orthonormal(ahead, width))
     singular = np.sqrt(values)
-    scale = np.array([1.0 / s if s > 1e-9 else 0.0 for s in singular])
-    left = image.select("id", *_times(vectors @ np.diag(scale), k))
-    right = right.select("id", *_times(vectors, k))
-    return left, right, [float(s) for s in singular]
+    scale = np.array([1.0 / s if s > 1e-9 * singular[0] else 0.0 for s in singular])
+    left = image.select("id", *_padded(_times((vectors @ np.diag(scale))[:, :k], width), k))
+    right = right.select("id", *_padded(_times(vectors[:, :k], width), k))
+    return left, right, [float(s) for s in singular[:k]] + [0.0] * (k - width)
 
 
 def _damped(step: float, n: Column) -> Column:

@@ -75,6 +75,20 @@ def heavy_pairs(rows: DataFrame, members: int, groups: int, block: int, chunk: i
     return dealt.groupBy("lo", "hi", "chunk").applyInPandas(_cell_product, schema)
 
 
+def _chunk_pairs(rows: DataFrame, heavy: int) -> DataFrame:
+    """(a, b, value, n) of groups with ``_size`` members, joined by (group, chunk, chunk)."""
+    chunks = F.ceil(F.col("_size") / heavy).cast("int")
+    dealt = rows.withColumn("_c", F.pmod(F.xxhash64("m"), chunks)).withColumn(
+        "_o", F.explode(F.sequence(F.lit(0).cast("bigint"), (chunks - 1).cast("bigint"))))
+    keyed = dealt.withColumn("_lo", F.least("_c", "_o")).withColumn("_hi", F.greatest("_c", "_o"))
+    left = keyed.select("g", "_lo", "_hi", F.col("m").alias("a"), F.col("x").alias("xa"), F.col("_c").alias("ca"))
+    right = keyed.select("g", "_lo", "_hi", F.col("m").alias("b"), F.col("x").alias("xb"), F.col("_c").alias("cb"))
+    # members of one chunk meet under many keys; the pair counts where both chunks are the key's
+    own = (F.least("ca", "cb") == F.col("_lo")) & (F.greatest("ca", "cb") == F.col("_hi"))
+    return left.join(right, ["g", "_lo", "_hi"]).where((F.col("a") < F.col("b")) & own).select(
+        "a", "b", (F.col("xa") * F.col("xb")).alias("value"), F.lit(1).cast("bigint").alias("n"))
+
+
 def pair_sums(
     entries: DataFrame,
     group: str,
@@ -87,9 +101,11 @@ def pair_sums(
     """(a, b, value, n) for every pair a < b of members sharing a group.
 
     ``value`` is the sum over shared groups of x_a * x_b (1 without ``value``) and ``n``
-    the number of shared groups. (group, member) must be distinct. The group sizes are
-    measured first and the blocked path is planned only for groups it serves better: a row
-    of a group of s members makes s / 2 joined rows, or one row per member block.
+    the number of shared groups. (group, member) must be distinct. Group sizes are measured
+    first. Groups of at most ``heavy`` members are joined by group; larger ones by pairs of
+    member chunks of about ``heavy``, so no join key makes more than a fixed number of
+    pairs; the blocked products take groups they serve better: a row of a group of s
+    members makes s / 2 joined rows, or one row per member block.
     """
     x = F.col(value).cast("double") if value else F.lit(1.0)
     rows = hold(entries.select(F.col(group).alias("g"), F.col(member).alias("m"), x.alias("x")))
@@ -99,9 +115,12 @@ def pair_sums(
     if n_hot:
         members = rows.agg(F.approx_count_distinct("m")).first()[0]
         limit = max(heavy, 2 * _blocks(members, block))
-        hot = hot.where(F.col("_size") > limit).select("g")
+        middle, hot = hot.where(F.col("_size") <= limit), hot.where(F.col("_size") > limit).select("g")
+        light = rows.join(rows.groupBy("g").agg(F.count(F.lit(1)).alias("_size")).where(F.col("_size") <= heavy).select("g"), "g", "left_semi")
+        chunked = _chunk_pairs(rows.join(middle, "g"), heavy)
         n_hot = hot.count()
-    light = rows.join(hot, "g", "left_anti") if n_hot else rows
+    else:
+        light, chunked = rows, None
     left = light.select("g", F.col("m").alias("a"), F.col("x").alias("xa"))
     right = light.select("g", F.col("m").alias("b"), F.col("x").alias("xb"))
     pairs = (
@@ -109,6 +128,8 @@ def pair_sums(
         .where(F.col("a") < F.col("b"))
         .select("a", "b", (F.col("xa") * F.col("xb")).alias("value"), F.lit(1).cast("bigint").alias("n"))
     )
+    if chunked is not None:
+        pairs = pairs.unionByName(chunked)
     if n_hot:
         dense = rows.join(hot, "g", "left_semi")
         pairs = pairs.unionByName(heavy_pairs(dense, members, n_hot, block, chunk))
@@ -140,7 +161,11 @@ def _product_cell(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     lhs[groups.get_indexer(left["g"]), acol] = left["x"].to_numpy()
     rhs[groups.get_indexer(right["h"]), bcol] = right["y"].to_numpy()
     total = lhs.T @ rhs
-    i, j = np.nonzero(total)
+    # A pair that shares a group is listed whatever its sum is, as a join would list it.
+    lhs[:], rhs[:] = 0.0, 0.0
+    lhs[groups.get_indexer(left["g"]), acol] = 1.0
+    rhs[groups.get_indexer(right["h"]), bcol] = 1.0
+    i, j = np.nonzero(lhs.T @ rhs)
     return pd.DataFrame({"a": np.asarray(am)[i], "b": np.asarray(bm)[j], "value": total[i, j]})
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,11 +31,11 @@ def match_range(docs: DataFrame, field: str, above, below) -> DataFrame:
 
 def match_phrase(docs: DataFrame, field: str, phrase: str, name: str = "highlight") -> DataFrame:
     """Documents holding the phrase, with every occurrence marked in ``name``."""
-    words = [w for w in phrase.split() if w]
-    body = (WORD_EDGE + "+").join(words)
-    pattern = f"(?i)(^|{WORD_EDGE})({body})($|{WORD_EDGE})"
+    body = (WORD_EDGE + "+").join(re.escape(w) for w in phrase.split())
+    # the edges are looked at and not taken, so the separator between two phrases serves both
+    pattern = rf"(?i)(?<![\p{{L}}\p{{N}}_])({body})(?![\p{{L}}\p{{N}}_])"
     found = docs.where(F.col(field).rlike(pattern))
-    return found.withColumn(name, F.regexp_replace(field, pattern, "$1<em>$2</em>$3"))
+    return found.withColumn(name, F.regexp_replace(field, pattern, "<em>$1</em>"))
 
 
 def terms_buckets(docs: DataFrame, field: str, size: int = 10) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tallyrank.operators.ranking import dense_index, position, previous_value, top_k
 from tallyrank.session import hold
 
-MONTH = 30 * 86400
 
 
 def join_attributes(ratings: DataFrame, users: DataFrame, items: DataFrame, how: str = "left") -> DataFrame:
@@ -49,10 +48,13 @@ def matrix_sparsity(inter: DataFrame) -> DataFrame:
     )
 
 
-def ordered_items(inter: DataFrame, slice_seconds: int = MONTH, size: str | None = None) -> DataFrame:
-    """Interactions with their 0-based time position ``pos`` in the user's history."""
-    bucket = F.floor(F.col("ts") / slice_seconds)
-    return position(inter, ["user_id"], [F.col("ts"), F.col("item_id")], bucket, "pos", size)
+def ordered_items(inter: DataFrame, size: str | None = None) -> DataFrame:
+    """Interactions with their 0-based time position ``pos`` in the user's history.
+
+    Histories are cut by ranges of (user, time) of even size, so a user with one very busy
+    day is spread over tasks like any other stretch of rows.
+    """
+    return position(inter, ["user_id"], [F.col("ts"), F.col("item_id")], None, "pos", size)
 
 
 def history_chunks(inter: DataFrame, columns: list[str], chunk: int = 100) -> DataFrame:

@@ -15,6 +15,8 @@ from tallyrank.operators.ranking import top_k
 from tallyrank.session import hold
 
 BLOCK_ROWS = 8192
+#: Queries scored at a time in a cell: a tile and its copies take 3 x TILE_QUERIES x BLOCK_ROWS x 8 bytes.
+TILE_QUERIES = 256
 
 
 def dimension(vectors: DataFrame, column: str) -> int:
@@ -44,6 +46,23 @@ def unit_vectors(vectors: DataFrame, column: str = "vec", floor: float = 0.0) ->
     return vectors.withColumn(column, F.transform(column, lambda x: x.cast("double") / divisor))
 
 
+def _best_of_tile(q: np.ndarray, b: np.ndarray, ids: np.ndarray, take: np.ndarray, metric: str):
+    """(row, column, score) of each query's ``take`` best: those at least as good as its k-th, then
+    sorted, so only the kept ones and their ties are."""
+    scores = q @ b.T
+    if metric == "l2":
+        scores = -((q * q).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * scores)
+    ranked = np.round(scores, TIE_DIGITS)
+    most = max(1, int(take.max()))
+    rows, cols = np.nonzero(ranked >= np.partition(ranked, len(ids) - most, axis=1)[:, len(ids) - most, None])
+    order = np.lexsort((ids[cols], -ranked[rows, cols], rows))
+    rows, cols = rows[order], cols[order]
+    first = np.searchsorted(rows, rows)
+    kept = np.arange(len(rows)) - first < take[rows]
+    rows, cols = rows[kept], cols[kept]
+    return rows, cols, scores[rows, cols]
+
+
 def _search_cell(metric: str):
     def search(key, queries: pd.DataFrame, base: pd.DataFrame) -> pd.DataFrame:
         if queries.empty or base.empty:
@@ -51,16 +70,10 @@ def _search_cell(metric: str):
         q = np.stack(queries["qvec"].to_numpy()).astype(np.float64)
         b = np.stack(base["vec"].to_numpy()).astype(np.float64)
         ids = base["id"].to_numpy()
-        scores = q @ b.T
-        if metric == "l2":
-            scores = -((q * q).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * scores)
-        ranked = np.round(scores, TIE_DIGITS)
-        order = np.lexsort((np.broadcast_to(ids, ranked.shape), -ranked), axis=1)
         take = np.minimum(queries["k"].to_numpy(), len(ids))
-        chosen = np.arange(len(ids))[None, :] < take[:, None]
-        rows = np.nonzero(chosen)[0]
-        cols = order[chosen]
-        score = scores[rows, cols]
+        found = [_best_of_tile(q[at : at + TILE_QUERIES], b, ids, take[at : at + TILE_QUERIES], metric) for at in range(0, len(q), TILE_QUERIES)]
+        rows = np.concatenate([at * TILE_QUERIES + r for at, (r, _, _) in enumerate(found)])
+        cols, score = (np.concatenate([f[part] for f in found]) for part in (1, 2))
         return pd.DataFrame({
             "query": queries["query"].to_numpy()[rows], "id": ids[cols],
             "score": np.maximum(-score, 0.0) if metric == "l2" else score,

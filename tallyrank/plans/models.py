@@ -101,7 +101,7 @@ def _(t):
 @query("truncated_svd")
 def _(t):
     entries = _entries(t.brand_ratings)
-    left, right, values = fa.subspace_svd(entries, 15, 4)
+    left, right, values = fa.subspace_svd(entries, 15)
     scaled = left.select("id", *[(F.col(f"f{d}") * values[d]).alias(f"f{d}") for d in range(15)])
     return fa.predict_entries(entries, scaled, right, 15)
 

@@ -234,7 +234,7 @@ def supplier_edges(t):
           FROM e x JOIN e y ON x.src = y.src JOIN wd wx ON wx.dst = x.dst JOIN wd wy ON wy.dst = y.dst
           GROUP BY x.dst, y.dst, wx.w, wy.w"""))
 def _(t):
-    src, _dst = graph.simrank(supplier_edges(t), 0.8, 2)
+    src, _dst = graph.simrank(supplier_edges(t), 0.8, 2, "src")
     return src.where("i < j").select(
         F.col("i").alias("a"), F.col("j").alias("b"), F.round("s", 9).alias("s"))
 

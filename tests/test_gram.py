@@ -65,3 +65,20 @@ def test_product_sums(spark, heavy):
 def test_mirror_lists_both_directions(spark):
     df = spark.createDataFrame([(1, 2, 0.5)], "a LONG, b LONG, w DOUBLE")
     assert sorted(map(tuple, mirror(df).collect())) == [(1, 2, 0.5), (2, 1, 0.5)]
+
+
+def test_cancelling_sums_are_listed_on_every_path(spark):
+    rows = [(g, m, 1.0 if (g + m) % 2 else -1.0) for g in range(2) for m in range(20)]
+    left = spark.createDataFrame(rows, "g INT, a INT, x DOUBLE")
+    right = left.withColumnRenamed("a", "b")
+    joined = product_sums(left, right, heavy=1000).orderBy("a", "b").collect()
+    blocked = product_sums(left, right, heavy=2, block=8, chunk=1).orderBy("a", "b").collect()
+    assert len(joined) == 400 and joined == blocked
+
+
+def test_chunked_groups_match_the_join(spark):
+    rows = [(g, m, float(1 + (g * m) % 5)) for g in range(6) for m in range(3 + 17 * g)]
+    entries = spark.createDataFrame(rows, "g INT, m INT, x DOUBLE")
+    whole = pair_sums(entries, "g", "m", "x", heavy=1000).orderBy("a", "b").collect()
+    assert pair_sums(entries, "g", "m", "x", heavy=4, block=1).orderBy("a", "b").collect() == whole
+    assert pair_sums(entries, "g", "m", "x", heavy=8, block=1000).orderBy("a", "b").collect() == whole

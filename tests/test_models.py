@@ -28,7 +28,7 @@ def test_zero_imputed_als_reaches_the_best_low_rank_error(ratings):
 
 
 def test_subspace_svd_matches_dense(ratings):
-    left, right, values = fa.subspace_svd(_entries(ratings), 2, 30)
+    left, right, values = fa.subspace_svd(_entries(ratings), 2)
     _u, s, _vt = np.linalg.svd(R)
     assert values == pytest.approx(list(s[:2]), abs=1e-4)
     rebuilt = _matrix(left, 5, 2) @ np.diag(values) @ _matrix(right, 4, 2).T
@@ -196,3 +196,15 @@ def test_fm_score_by_hand(spark):
     got = {r.id: r.score for r in vec.fm_scores(rows, weights, factors, 0.1).collect()}
     assert got[1] == pytest.approx(0.1 + 1.0 - 1.0 + 2.0 * (1 * 3 + 2 * -1))
     assert got[2] == pytest.approx(0.1 - 3.0)
+
+
+def test_subspace_svd_settles_on_a_flat_spectrum(spark):
+    rng = np.random.default_rng(3)
+    left, right = (np.linalg.qr(rng.normal(size=(n, 30)))[0] for n in (60, 40))
+    dense = left @ np.diag(np.linspace(10, 8, 30)) @ right.T
+    entries = spark.createDataFrame([(i, j, float(dense[i, j])) for i in range(60) for j in range(40)], "row LONG, col LONG, x DOUBLE")
+    _left, found, values = fa.subspace_svd(entries, 5, tol=1e-4)
+    want = np.linalg.svd(dense)[1][:5]
+    assert values == pytest.approx(list(want), rel=1e-3)
+    v = _matrix(found, 40, 5)
+    assert np.abs(dense.T @ dense @ v - v * np.array(values) ** 2).max() < 1e-2

@@ -101,3 +101,12 @@ def test_skip_gram_covers_every_node(graph):
     sentences = wk.walk_sentences(wk.uniform_walks(graph, 5, 4))
     rows = wk.skip_gram(sentences, 8, 3).collect()
     assert {r.id for r in rows} == set("abcde") and all(len(r.vec) == 8 for r in rows)
+
+
+def test_biased_walks_end_on_a_node_without_edges(spark):
+    edges = spark.createDataFrame([("a", "b", 1.0), ("c", "a", 2.0)], "src STRING, dst STRING, w DOUBLE")
+    trail = wk.biased_walks(edges, walks=3, length=6).collect()
+    paths = {}
+    for r in sorted(trail, key=lambda r: (r.walk, r.step)):
+        paths.setdefault(r.walk, []).append(r.node)
+    assert sorted(map(tuple, paths.values())) == [("a", "b")] * 3 + [("c", "a", "b")] * 3
