@@ -26,13 +26,15 @@ def _padded(expr: str, length: int, fill: str = "0") -> str:
 
 
 @query("prefix_samples", with_views("inter", """
-    SELECT user_id, pos, item_id, 1 AS label, pos AS hist_len, rating, array_to_string(h, ',') AS hist,
-           CASE WHEN pos = n - 1 THEN 'test' ELSE 'train' END AS split FROM samples WHERE pos >= 1""",
-    ordered=ORDERED, samples=f"SELECT *, {_hist('item_id', 50)} AS h FROM ordered"))
-def _(t):
-    rows = sq.prefix_samples(t.interactions, 50)
-    return rows.select("user_id", "pos", "item_id", "label", "hist_len", "rating",
-                       joined("hist_item_id").alias("hist"), "split")
+    SELECT user_id, pos, item_id, 1 AS label, pos AS hist_len, rating, CAST(part AS BIGINT) AS part,
+           array_to_string(list_reverse(h[CAST(greatest(0, (last - part) * 20) AS INT) + 1 : CAST(least(pos, (last - part) * 20 + 20) AS INT)]), ',') AS hist,
+           CASE WHEN pos = n - 1 THEN 'test' ELSE 'train' END AS split
+    FROM (SELECT *, unnest(range(0, last + 1)) AS part FROM samples WHERE pos >= 1)""",
+    ordered=ORDERED, samples="""SELECT *, (pos - 1) // 20 AS last, list(item_id) OVER (PARTITION BY user_id ORDER BY pos
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS h FROM ordered"""))
+def _(t):
+    rows = sq.whole_prefix_samples(t.interactions, 20)
+    return rows.withColumn("hist", joined("hist"))
 
 
 @query("pad_sequence", with_views("inter", f"""

@@ -80,3 +80,18 @@ def test_cluster_draw_has_no_repeats(spark, tables):
     users = tables.customer.select(F.col("c_custkey").alias("user_id"), F.pmod("c_custkey", F.lit(7)).alias("cluster"))
     got = ln.cluster_draw(users, tables.interactions, 10)
     assert got.groupBy("user_id").agg(F.countDistinct("item_id").alias("d"), F.count("*").alias("n")).where("d <> n or n <> 10").count() == 0
+
+
+def test_rules_have_consequents_of_any_size(spark):
+    baskets = ["abc"] * 6 + ["ab"] * 2 + ["c"] * 2 + ["abd"]
+    rows = [(i, item) for i, basket in enumerate(baskets) for item in basket]
+    sets, found = rules.mine_rules(spark.createDataFrame(rows, "basket INT, item STRING"), 0.3, 0.6)
+    support = {"".join(r["items"]): r.freq for r in sets.collect()}
+    want = set()
+    for whole, n in support.items():
+        for split in range(1, 2 ** len(whole) - 1):
+            left = "".join(c for k, c in enumerate(whole) if split >> k & 1)
+            if n / support[left] >= 0.6:
+                want.add((left, "".join(c for c in whole if c not in left), n / support[left], n / 11))
+    got = {("".join(r.antecedent), "".join(r.consequent), r.confidence, r.support) for r in found.collect()}
+    assert got == want and any(len(c) == 2 for _, c, _, _ in got)
