@@ -34,10 +34,10 @@ def _both(left, right, k):
 
 
 ENTRIES = "SELECT user_id AS row, item_id AS col, rating AS x FROM {}"
-ALS = chains.als(5, ENTRIES.format("train"))
+ALS = chains.als(10, ENTRIES.format("train"))
 MF = chains.gradient(5, ENTRIES.format("train"), 10, 0.01, 0.02, False)
 BIASED = chains.gradient(5, ENTRIES.format("train"), 10, 0.01, 0.02, True)
-NMF = chains.nmf(5, ENTRIES.format("brand"))
+NMF = chains.nmf(10, ENTRIES.format("brand"))
 BPR = {
     "idx": IDX, "held": LAST, "pos": "SELECT user_id, item_id FROM inter ANTI JOIN held USING (user_id, item_id)",
     "tries": TRIES.format(src="pos", last=35), "draws": DRAWS,
@@ -52,14 +52,14 @@ def _recs(left, right, seen, k, n=10):
     return recs.select("user_id", "item_id", "rank", F.round("score", 6).alias("score"))
 
 
-@query("als_zero_imputed", with_views("train", chains.both_sides(5, 3), **ALS))
+@query("als_zero_imputed", with_views("train", chains.both_sides(10, 3), **ALS))
 def _(t):
-    return _both(*fa.als_zero_imputed(_entries(t.train), 3, 5), 3)
+    return _both(*fa.als_zero_imputed(_entries(t.train), 3, 10), 3)
 
 
-@query("als_recommend", with_views("train", chains.top_items(5, 3, 10, "train", False, "user_id", "item_id"), **ALS))
+@query("als_recommend", with_views("train", chains.top_items(10, 3, 10, "train", False, "user_id", "item_id"), **ALS))
 def _(t):
-    left, right = fa.als_zero_imputed(_entries(t.train), 3, 5)
+    left, right = fa.als_zero_imputed(_entries(t.train), 3, 10)
     return _recs(left, right, t.train, 3)
 
 
@@ -106,9 +106,9 @@ def _(t):
     return fa.predict_entries(entries, scaled, right, 15)
 
 
-@query("nmf", with_views("brand", chains.both_sides(5, 2), **NMF))
+@query("nmf", with_views("brand", chains.both_sides(10, 2), **NMF))
 def _(t):
-    return _both(*fa.nmf(_entries(t.brand_ratings), 2, 5), 2)
+    return _both(*fa.nmf(_entries(t.brand_ratings), 2, 10), 2)
 
 
 @query("slim_weights")

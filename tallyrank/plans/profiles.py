@@ -208,7 +208,7 @@ def _(t):
     SELECT walk, CAST(step AS INTEGER) AS step, node FROM trail""", **GRAPH,
     placed="""SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY md5(dst), dst) - 1 AS place,
               count(*) OVER (PARTITION BY src) AS deg FROM g""",
-    starts="SELECT DISTINCT src AS node, concat(src, '#', k) AS walk FROM placed, generate_series(0, 9) s(k)",
+    starts="SELECT DISTINCT src AS node, concat(src, '#', k) AS walk FROM placed, generate_series(0, 79) s(k)",
     nodes="SELECT DISTINCT src, deg FROM placed").replace("WITH ", "", 1).replace(" SELECT walk, CAST(step", """,
     trail AS (SELECT walk, 0 AS step, node FROM starts UNION ALL
       SELECT t.walk, t.step + 1, e.dst FROM trail t JOIN nodes n ON n.src = t.node JOIN placed e ON e.src = t.node
@@ -216,12 +216,12 @@ def _(t):
                     / 4294967296.0 * n.deg) AS BIGINT) WHERE t.step < 9)
     SELECT walk, CAST(step""", 1))
 def _(t):
-    return wk.uniform_walks(_graph(t), 10, 10)
+    return wk.uniform_walks(_graph(t), 80, 10)
 
 
 @query("walks_biased")
 def _(t):
-    return wk.biased_walks(_graph(t), 10, 5)
+    return wk.biased_walks(_graph(t), 80, 10)
 
 
 def _spread(vectors):
