@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tallyrank.llm import quality, toxicity
 from tallyrank.llm.common import offsets
 from tallyrank.llm.queries import op8_quality, op9_toxicity
+from tests_llm_brute import awkward, empty  # noqa: F401
 
 SF = "/root/testdata/sf0.01"
 

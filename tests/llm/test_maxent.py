@@ -7,6 +7,7 @@ import numpy as np
 from tallyrank.llm import maxent
 from tallyrank.llm.common import lower_word_bytes
 from tallyrank.llm.queries import op6_maxent
+from tests_llm_brute import awkward, empty  # noqa: F401
 
 SF = "/root/testdata/sf0.01"
 
@@ -58,3 +59,11 @@ def test_awkward_rows(spark, awkward, empty):
     assert len(got) == 7 and np.isfinite(got.score).all()
     assert got[got.doc_id == 2].n_tokens.tolist() == [1, 1]
     assert maxent.score_documents(empty).count() == 0
+
+
+def test_sums_of_runs():
+    rng = np.random.default_rng(6)
+    times = np.array([1, 1, 2, 9, 40, 8, 3, 1])
+    first = np.cumsum(times) - times
+    x = rng.normal(size=(times.sum(), 5))
+    assert np.allclose(maxent._sum_runs(x, first, times), np.add.reduceat(x, first, axis=0))

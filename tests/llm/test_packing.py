@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tallyrank.llm import packing
+from tests_llm_brute import awkward, empty  # noqa: F401
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN

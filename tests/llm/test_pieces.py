@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallyrank.llm import pieces
+from tests_llm_brute import awkward, empty  # noqa: F401
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 

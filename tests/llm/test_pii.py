@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tallyrank.llm import pii
 from tallyrank.llm.queries import op10_pii
+from tests_llm_brute import awkward, empty  # noqa: F401
 from tests_llm_brute import PLAIN
 from tests_llm_brute import personal as brute
 

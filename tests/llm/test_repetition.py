@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 
 from tallyrank.llm import repetition
 from tallyrank.llm.common import offsets
+from tests_llm_brute import awkward, empty  # noqa: F401
 
 
 def brute(words):

@@ -2,6 +2,7 @@ import base64
 import json
 
 from tallyrank.llm import secrets
+from tests_llm_brute import awkward, empty  # noqa: F401
 
 
 def b64(data, url=False):

@@ -1,7 +1,9 @@
-"""Plain Python versions that several tests compare with."""
+"""Fixtures of these tests, and plain Python versions that several of them compare with."""
 
 import re
 
+import pytest
+
 from tallyrank.llm.common import lower_word_bytes
 
 PLAIN = {
@@ -56,3 +58,23 @@ def components(texts, words, least):
                 a, b = sorted((root(i), root(j)))
                 label[b] = a
     return [root(i) for i in range(len(texts))]
+
+
+DOCS = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
+
+
+@pytest.fixture(scope="session")
+def awkward(spark):
+    """Nulls in any column, empty and very long texts, repeated rows, clashing extra columns."""
+    long = " ".join(f"w{i % 977}x{i}" for i in range(30_000))
+    rows = [
+        (1, None, None, None, None), (2, "", "en", "a", 0), (2, "", "en", "a", 0), (None, "some words here", "en", "a", 15),
+        (4, long, "en", "b", len(long)), (5, "\x1c\x85  \t\n  é\U0001f600 x", "fr", "b", 9), (6, "a b c d e " * 40, "en", "b", 400),
+    ]
+    extra = "kept BOOLEAN, score DOUBLE, sequence_id STRING, words STRING, _group STRING, rank STRING, spans STRING, key STRING"
+    return spark.createDataFrame([r + (None, None, "z", "z", "z", "z", "z", "z") for r in rows], f"{DOCS}, {extra}")
+
+
+@pytest.fixture(scope="session")
+def empty(spark):
+    return spark.createDataFrame([], DOCS)
