@@ -15,10 +15,32 @@ from tallyrank.llm.common import by_bytes, offsets, texts_of
 
 MARK = "▁"
 #: Distinct words a worker remembers the ids of, and pairs of pieces it remembers the verdict on.
-CACHE_WORDS, CACHE_PAIRS = 250_000, 300_000
+CACHE_WORDS, CACHE_PAIRS = 150_000, 300_000
 
 
-class PieceModel:
+class PieceTexts:
+    """What the pieces of a model stand for: all that decoding needs."""
+
+    def __init__(self, path: str):
+        import sentencepiece
+
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        size = model.vocab_size()
+        self.text = [model.id_to_piece(i) for i in range(size)]
+        self.byte = {int(self.text[i][3:5], 16): i for i in range(size) if model.is_byte(i)}
+        raw = {i: t.replace(MARK, " ").encode() for i, t in enumerate(self.text)}
+        raw |= {i: b"" for i in range(size) if model.is_control(i)} | {i: bytes([b]) for b, i in self.byte.items()}
+        raw[model.unk_id()] = " ⁇ ".encode()
+        self.raw = [raw[i] for i in range(size)]
+        self.plain = [i for i in range(size) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
+        self.score = {i: model.get_score(i) for i in self.plain}
+
+    def decode(self, ids: np.ndarray) -> str:
+        data = b"".join(map(self.raw.__getitem__, ids.tolist()))
+        return data.removeprefix(b" ").decode("utf-8", "replace")
+
+
+class PieceModel(PieceTexts):
     """The pieces of a byte-pair SentencePiece model with byte fallback and identity normalisation.
 
     Such a model merges the neighbours whose joined piece has the best score until none is left. A
@@ -30,21 +52,14 @@ class PieceModel:
     """
 
     def __init__(self, path: str):
-        import sentencepiece
-
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
-        size = model.vocab_size()
-        self.text = [model.id_to_piece(i) for i in range(size)]
-        self.byte = {int(self.text[i][3:5], 16): i for i in range(size) if model.is_byte(i)}
-        self.silent = {i for i in range(size) if model.is_control(i)}
-        self.unknown = model.unk_id()
-        plain = [i for i in range(size) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
+        super().__init__(path)
+        plain = self.plain
         self.runs = {len(self.text[i]): i for i in plain if not self.text[i].strip(MARK)}
         if any(MARK in self.text[i].lstrip(MARK) or self.text[i].startswith(MARK * 2) for i in plain if self.text[i].strip(MARK)):
             raise ValueError("a piece holds a mark inside: words are not independent in this model")
         self.id = {self.text[i]: i for i in plain if self.text[i].strip(MARK) or len(self.text[i]) == 1}
         # Place in the order of merges; single characters are there from the start.
-        order = sorted((i for t, i in self.id.items() if len(t) > 1), key=lambda i: -model.get_score(i))
+        order = sorted((i for t, i in self.id.items() if len(t) > 1), key=lambda i: -self.score[i])
         self.rank = {i: place for place, i in enumerate(order, 1)}
         self.split: dict[int, tuple[int, int] | None] = {i: None for t, i in self.id.items() if len(t) == 1}
         self.pairs: dict[int, bool] = {}
@@ -60,9 +75,6 @@ class PieceModel:
             node[""] = i
         self.words: dict[str, bytes] = {}
         self.mark = self.id[MARK]
-        raw = {i: t.replace(MARK, " ").encode() for i, t in enumerate(self.text)}
-        raw |= {i: b"" for i in self.silent} | {i: bytes([b]) for b, i in self.byte.items()} | {self.unknown: " ⁇ ".encode()}
-        self.raw = [raw[i] for i in range(size)]
 
     def _last_merge(self, piece: int) -> tuple[int, int] | None:
         """The two pieces whose merge makes this one, if the merges of its text end in it."""
@@ -197,9 +209,10 @@ class PieceModel:
             out.append(b"".join(ids) + np.array(self._marks(run), "<i4").tobytes())
         return out
 
-    def decode(self, ids: np.ndarray) -> str:
-        data = b"".join(map(self.raw.__getitem__, ids.tolist()))
-        return data.removeprefix(b" ").decode("utf-8", "replace")
+
+@lru_cache(maxsize=1)
+def _texts(path: str) -> PieceTexts:
+    return PieceTexts(path)
 
 
 @lru_cache(maxsize=1)
@@ -238,7 +251,7 @@ def decode_documents(encoded: DataFrame, model_path: str, ids: str = "ids", out:
     schema = base.selectExpr("*", f"CAST(NULL AS STRING) AS {out}").schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _model(model_path)
+        model = _texts(model_path)
         for batch in batches:
             column = batch.column(ids)
             flat, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
