@@ -24,7 +24,7 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "number": r"(?<![A-Za-z0-9+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{2,4}[\x20.-][0-9]{3,4}(?![0-9]|[.-][0-9])",
+    "number": r"(?<![A-Za-z0-9+.-])(?<!\+[0-9]{1,3}[\x20-])\(?[0-9]{3}\)?[\x20.-][0-9]{2,4}[\x20.-][0-9]{3,4}(?![0-9]|[.-][0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "person": r"(?<![A-Za-z])(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Señora?|Madame|Monsieur)\.?\x20[A-Z][a-z]{1,20}(?:\x20[A-Z][a-z]{1,20})?(?![A-Za-z])",
 }
