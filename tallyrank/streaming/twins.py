@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tallyrank.operators import bandit, profiles
 
@@ -66,35 +66,51 @@ def stream_arm_sums(
 def stream_profile_upsert(
     spark: SparkSession, path: str, schema: StructType, to_changes: Callable[[DataFrame], DataFrame],
     base: DataFrame, key: str, version: list[str], payload: list[str], op: str = "op",
-    buckets: int = 64, files_per_batch: int | None = None,
+    rows_per_bucket: int = 100_000, files_per_batch: int | None = None,
 ) -> DataFrame:
     """Profiles after a stream of changes.
 
-    The profiles lie in hash buckets of the key, and a micro-batch rewrites only the
-    buckets its keys fall into. Merging keeps the newest version per key, so a replayed
-    batch changes nothing; deletes stay as markers, so a late older change cannot bring
-    a key back.
+    The profiles lie in hash buckets of the key, as many as the base table asks for. A micro-batch
+    writes new versions of the buckets its keys fall into, next to the old ones, and then a table
+    that names the version of every bucket. Readers go by that table, so a batch that fails in
+    the middle leaves nothing half written, and its replay overwrites its own files only. Merging
+    keeps the newest version per key, so a replayed batch changes nothing; deletes stay as
+    markers, so a late older change cannot bring a key back.
     """
-    out = state_folder(spark, "profiles")
+    out, pointers = state_folder(spark, "profiles"), state_folder(spark, "profile-versions")
     columns = [key, *version, op, *payload]
+    first = profiles.latest_versions(base, key, version, [op, *payload]).persist()
+    buckets = max(1, -(-first.count() // rows_per_bucket))
 
     def bucketed(df: DataFrame) -> DataFrame:
         return df.select(columns).withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
 
-    def save(df: DataFrame) -> None:
-        writer = bucketed(df).repartition("bucket").write.mode("overwrite").partitionBy("bucket")
+    def save(df: DataFrame, number: int) -> None:
+        rows = bucketed(df).repartition("bucket").withColumn("batch", F.lit(number))
+        writer = rows.write.mode("overwrite").partitionBy("bucket", "batch")
         writer.option("partitionOverwriteMode", "dynamic").parquet(out)
 
-    save(profiles.latest_versions(base, key, version, [op, *payload]))
-    kept = spark.read.parquet(out).schema
+    def versions(number: int) -> DataFrame:
+        return spark.read.parquet(f"{pointers}/{number}")
+
+    save(first, -1)
+    first.unpersist()
+    spark.range(buckets).select(F.col("id").cast("int").alias("bucket"), F.lit(-1).alias("batch")).write.parquet(f"{pointers}/-1")
+    kept = StructType([*bucketed(first).schema, StructField("batch", IntegerType())])
+    done = [-1]
 
     def merge(batch: DataFrame, number: int) -> None:
         changes = bucketed(batch).persist()
-        touched = changes.select("bucket").distinct()
-        current = spark.read.schema(kept).parquet(out).join(touched, "bucket", "left_semi")
+        touched = changes.select("bucket").distinct().persist()
+        before = versions(number - 1)
+        current = spark.read.schema(kept).parquet(out).join(before.join(touched, "bucket"), ["bucket", "batch"], "left_semi")
         both = current.select(columns).unionByName(changes.select(columns))
-        save(profiles.latest_versions(both, key, version, [op, *payload]))
+        save(profiles.latest_versions(both, key, version, [op, *payload]), number)
+        now = before.join(touched.withColumn("_new", F.lit(number)), "bucket", "left")
+        now.select("bucket", F.coalesce("_new", "batch").alias("batch")).write.mode("overwrite").parquet(f"{pointers}/{number}")
+        done.append(number)
         changes.unpersist()
+        touched.unpersist()
 
     run = (
         to_changes(read_files(spark, path, schema, files_per_batch)).writeStream.foreachBatch(merge)
@@ -102,5 +118,5 @@ def stream_profile_upsert(
         .trigger(availableNow=True).start()
     )
     run.awaitTermination()
-    final = spark.read.schema(kept).parquet(out)
+    final = spark.read.schema(kept).parquet(out).join(versions(done[-1]), ["bucket", "batch"], "left_semi")
     return final.where(F.col(op) != "delete").select(key, *version, *payload)

@@ -91,7 +91,7 @@ def test_stream_upsert_over_several_batches(spark, tmp_path):
             (tmp_path / "in").mkdir(exist_ok=True)
             (tmp_path / "in" / f"{n}-{file.name}").write_bytes(file.read_bytes())
     got = twins.stream_profile_upsert(
-        spark, str(tmp_path / "in"), base.schema, lambda df: df, base, "k", ["v"], ["x"], buckets=4, files_per_batch=1)
+        spark, str(tmp_path / "in"), base.schema, lambda df: df, base, "k", ["v"], ["x"], rows_per_bucket=5, files_per_batch=1)
     want = {k: (0, "base") for k in range(20)} | {1: (2, "new"), 30: (1, "added"), 3: (9, "three")}
     del want[2]
     assert {r.k: (r.v, r.x) for r in got.collect()} == want
