@@ -20,8 +20,8 @@ GRAMS = (3, 4, 5, 6)
 USED = 4_000
 #: ... by this many standard errors at least.
 CLEAR = 4.0
-#: Labelled rows the weights are fitted on at most (the counts are of all labelled rows).
-SAMPLE_ROWS = 8_192
+#: Labelled rows the classifier is fitted on at most: those with the smallest hash of their id.
+SAMPLE_ROWS = 16_384
 ROUNDS, RATE, DECAY = 200, 0.05, 1e-3
 CACHE_WORDS = 1_000_000
 THRESHOLD = 0.7
@@ -29,8 +29,9 @@ THRESHOLD = 0.7
 
 def word_features(word: bytes) -> set[int]:
     """Hashed character n-grams of a word in lower case, < and > standing for its ends."""
-    word = f"<{word.decode('utf-8', 'replace').lower()}>"
-    return {zlib.crc32(word[i : i + n].encode()) % FEATURES for n in GRAMS for i in range(max(1, len(word) - n + 1))}
+    letters = f"<{word.decode('utf-8', 'replace').lower()}>".encode("utf-32-le")  # four bytes a character
+    size = len(letters) // 4
+    return {zlib.crc32(letters[4 * i : 4 * (i + n)]) % FEATURES for n in GRAMS for i in range(max(1, size - n + 1))}
 
 
 @dataclass
@@ -56,19 +57,21 @@ class ToxicModel:
         return 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
 
 
-def _labelled(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str) -> tuple[DataFrame, DataFrame]:
+def _sampled(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, rows: int) -> DataFrame:
+    """doc_id, text, y of the sample. Its ids and labels are broadcast, so no text is shuffled; the bound
+    on its rows is the bound on what is sent."""
     own = labels.select(labels["doc_id"].alias("doc_id"), labels[label].cast("int").alias("y"))
     own = own.where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & (crc_remainder(F.col("doc_id"), 3) != 1))
-    return docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text")), own
+    sample = own.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(rows)
+    return docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text")).join(F.broadcast(sample), "doc_id")
 
 
-def log_count_ratios(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> tuple[np.ndarray, np.ndarray]:
-    """The log-count ratio of each feature over all labelled training rows, and how clear it is.
+def log_count_ratios(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The log-count ratio of each feature over rows of text and y, and how clear it is.
 
     Every partition adds up its rows; what is shuffled and what reaches the driver is bounded by the
     number of features.
     """
-    rows, own = _labelled(docs, labels, doc_id, text, label)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, n = np.zeros((2, FEATURES), np.int64), [0, 0]
@@ -92,7 +95,7 @@ def log_count_ratios(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
         columns = [np.append(some, -1), np.append(seen[0][some], n[0]), np.append(seen[1][some], n[1])]
         yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], ["feature", "clean", "toxic"])
 
-    counted = rows.join(own, "doc_id").mapInArrow(count, "feature bigint, clean bigint, toxic bigint")
+    counted = labelled.select("text", "y").mapInArrow(count, "feature bigint, clean bigint, toxic bigint")
     found = counted.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toPandas()
     seen, n = np.zeros((2, FEATURES)), np.zeros(2)
     for side, name in enumerate(("clean", "toxic")):
@@ -110,17 +113,16 @@ def train_toxicity(
 ) -> ToxicModel:
     """Learns from rows whose crc32 of the id, modulo 3, is not 1.
 
-    Log-count ratios come from all of them. The weights are those of a logistic regression on the
-    scaled features, fitted on at most ``sample_rows`` of them, taken by a hash of the id; only
-    their used features reach the driver. Null labels are left out; without both classes every
-    text gets the same score.
+    At most ``sample_rows`` of them, taken by a hash of the id. The weights are those of a logistic
+    regression on the features scaled by their log-count ratios; only the used features of the
+    sample reach the driver. Null labels are left out; without both classes every text gets the
+    same score.
     """
-    ratio, clearness = log_count_ratios(docs, labels, doc_id, text, label)
+    labelled = _sampled(docs, labels, doc_id, text, label, sample_rows)
+    ratio, clearness = log_count_ratios(labelled)
     order = np.argsort(-clearness, kind="stable")[:used]
     chosen = np.sort(order[clearness[order] >= clear])
     place = {int(f): k for k, f in enumerate(chosen)}
-    rows, own = _labelled(docs, labels, doc_id, text, label)
-    sample = own.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(sample_rows)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[bytes, list[int]] = {}
@@ -140,7 +142,7 @@ def train_toxicity(
                 part.column("doc_id").cast(pa.string()), part.column("y"), pa.array([a.astype(np.int32).tobytes() for a, _ in found], pa.binary()),
                 pa.array([b.astype(np.int32).tobytes() for _, b in found], pa.binary())], ["doc_id", "y", "ids", "counts"])
 
-    found = rows.join(F.broadcast(sample), "doc_id").mapInArrow(features, "doc_id string, y int, ids binary, counts binary").collect()
+    found = labelled.mapInArrow(features, "doc_id string, y int, ids binary, counts binary").collect()
     found.sort(key=lambda r: (r.doc_id, r.y, r.ids))
     y = np.array([r.y for r in found], np.float64)
     share = (y.sum() + 1) / (len(y) + 2)
