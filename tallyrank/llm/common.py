@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import math
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +39,20 @@ def by_bytes(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int =
             yield batch.slice(int(begin), int(end - begin))
 
 
+def numbered(lists: list[list[bytes]]) -> tuple[np.ndarray, list[bytes]]:
+    """All words end to end as numbers, and the words that have them, in order of appearance."""
+    number: dict[bytes, int] = defaultdict()
+    number.default_factory = number.__len__
+    collecting = gc.isenabled()
+    gc.disable()  # nothing here makes cycles, and a growing table is large to walk
+    try:
+        ids = np.fromiter(map(number.__getitem__, chain.from_iterable(lists)), np.int64, sum(map(len, lists)))
+    finally:
+        if collecting:
+            gc.enable()
+    return ids, list(number)
+
+
 def texts_of(batch: pa.RecordBatch, text: str = "text") -> list[str]:
     """The texts of a batch; a null text is empty."""
     return [t or "" for t in batch.column(text).to_pylist()]

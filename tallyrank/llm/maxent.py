@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import zlib
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -15,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyrank.llm.common import by_bytes, crc_remainder, groups_for, lower_word_bytes, offsets, per_run, texts_of
+from tallyrank.llm.common import by_bytes, crc_remainder, groups_for, lower_word_bytes, numbered, offsets, per_run, texts_of
 from tallyrank.session import cut_lineage
 
 #: Classes of words: the end, the most frequent words by themselves, and the others by their last letters.
@@ -46,12 +44,11 @@ class Tokens:
 
     @classmethod
     def of(cls, texts: list[str]) -> Tokens:
-        lists = [[*lower_word_bytes(t), END] for t in texts]
-        number: dict[bytes, int] = defaultdict()
-        number.default_factory = number.__len__
-        bounds = offsets(np.array([len(x) for x in lists], np.int64))
-        ids = np.fromiter(map(number.__getitem__, chain.from_iterable(lists)), np.int64, int(bounds[-1]))
-        return cls(list(number), ids, bounds)
+        lists = [lower_word_bytes(t) for t in texts]
+        for words in lists:
+            words.append(END)
+        ids, words = numbered(lists)
+        return cls(words, ids, offsets(np.array([len(x) for x in lists], np.int64)))
 
     def classes(self, own: dict[bytes, int]) -> np.ndarray:
         """Class of each token: 0 the end, then the words in ``own``, then by the last three bytes."""
@@ -78,38 +75,64 @@ class Tokens:
         return np.stack(rows, 1).astype(np.int64)
 
 
-def _logits(weights: np.ndarray, bias: np.ndarray, features: np.ndarray) -> np.ndarray:
-    out = weights[features[:, 0]] + bias
-    for k in range(1, FEATURES):
-        out += weights[features[:, k]]
+def _sum_runs(x: np.ndarray, first: np.ndarray, times: np.ndarray, short: int = 8) -> np.ndarray:
+    """Sums of runs of rows: short runs together, place by place, long ones each by itself."""
+    out = x[first]
+    few = np.flatnonzero(times <= short)
+    for k in range(1, short):
+        few = few[times[few] > k]
+        out[few] += x[first[few] + k]
+    for run in np.flatnonzero(times > short):
+        np.sum(x[first[run] : first[run] + times[run]], axis=0, out=out[run])
     return out
 
 
+class _Workspace:
+    """Buffers for one batch, so that no step allocates."""
+
+    def __init__(self) -> None:
+        self.logits, self.spare = (np.empty((BATCH, CLASSES), np.float32) for _ in range(2))
+        self.sorted = np.empty((BATCH * FEATURES, CLASSES), np.float32)
+        self.ones = np.ones(CLASSES, np.float32)
+
+    def raise_logits(self, weights: np.ndarray, bias: np.ndarray, features: np.ndarray) -> np.ndarray:
+        """Summed weights of the features, in [-60, 60], where float32 exponentials stay finite."""
+        out, spare = self.logits[: len(features)], self.spare[: len(features)]
+        np.take(weights, features[:, 0], axis=0, out=out, mode="clip")
+        out += bias
+        for k in range(1, FEATURES):
+            np.take(weights, features[:, k], axis=0, out=spare, mode="clip")
+            out += spare
+        return np.clip(out, -60, 60, out=out)
+
+
 def learn(weights: np.ndarray, bias: np.ndarray, steps: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """Minibatch gradient updates with a rate that falls with a row's own squared gradients. Returns the
     weights, how often each row was seen, the bias and the tokens seen."""
     weights, bias = weights.copy(), bias.copy()
     power, bias_power, seen, total = np.full(len(weights), 1e-2, np.float32), 1e-2, np.zeros(len(weights), np.int64), 0
+    space = _Workspace()
     for features, classes in steps:
         for at in range(0, len(classes), BATCH):
             f, y = features[at : at + BATCH], classes[at : at + BATCH]
-            d = _logits(weights, bias, f)
-            d -= d.max(1, keepdims=True)
+            n = len(y)
+            d = space.raise_logits(weights, bias, f)
             np.exp(d, out=d)
-            d /= d.sum(1, keepdims=True)
-            d[np.arange(len(y)), y] -= 1
-            flat = f.T.reshape(-1)
+            d *= (1 / (d @ space.ones))[:, None]
+            d[np.arange(n), y] -= 1
+            flat = f.T.reshape(-1).astype(np.uint16)  # rows have 14 bits, and 16-bit keys are sorted by radix
             order = np.argsort(flat, kind="stable")
-            first = np.flatnonzero(np.diff(flat[order], prepend=-1))
-            rows, times = flat[order][first], np.diff(np.append(first, len(flat)))
-            g = np.add.reduceat(d[order % len(y)], first, axis=0)
-            power[rows] += (g * g).mean(1)
-            weights[rows] -= RATE * g / np.sqrt(power[rows])[:, None]
+            first = np.flatnonzero(np.diff(flat[order], prepend=np.uint16(ROWS)))
+            rows, times = flat[order[first]], np.diff(np.append(first, len(flat)))
+            g = _sum_runs(np.take(d, order % n, axis=0, out=space.sorted[: len(flat)], mode="clip"), first, times)
+            power[rows] += np.einsum("ij,ij->i", g, g) / CLASSES
+            g *= (RATE / np.sqrt(power[rows]))[:, None]
+            weights[rows] -= g
             seen[rows] += times
             g = d.sum(0)
             bias_power += float((g * g).mean())
             bias -= RATE * g / np.float32(np.sqrt(bias_power))
-            total += len(y)
+            total += n
     return weights, seen, bias, total
 
 
@@ -130,14 +153,13 @@ class MaxentModel:
 
     def class_scores(self, features: np.ndarray, classes: np.ndarray) -> np.ndarray:
         """log10 P(class | features) of each token."""
-        out = np.zeros(len(classes))
+        out, space = np.zeros(len(classes)), _Workspace()
         for at in range(0, len(classes), BATCH):
-            logits = _logits(self.weights, self.bias, features[at : at + BATCH])
-            top = logits.max(1)
-            logits -= top[:, None]
             y = classes[at : at + BATCH]
+            logits = space.raise_logits(self.weights, self.bias, features[at : at + BATCH])
             chosen = logits[np.arange(len(y)), y]
-            out[at : at + BATCH] = (chosen - np.log(np.exp(logits).sum(1))) / np.log(10)
+            np.exp(logits, out=logits)
+            out[at : at + BATCH] = (chosen - np.log(logits @ space.ones)) / np.log(10)
         return out
 
     def score(self, texts: list[str], counts: dict[bytes, int]) -> dict[str, np.ndarray]:

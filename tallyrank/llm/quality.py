@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -12,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyrank.llm.common import by_bytes, crc_remainder, offsets, per_run, texts_of, word_bytes
+from tallyrank.llm.common import by_bytes, crc_remainder, numbered, offsets, per_run, texts_of, word_bytes
 
 #: Words of a passage.
 PASSAGE_WORDS = 64
@@ -58,10 +57,8 @@ def passage_features(texts: list[str], size: int = PASSAGE_WORDS) -> tuple[np.nd
     for c in range(len(_CLASSES)):
         letters[:, c] = per_run(per_word[:, c], runs)
     bytes_in = np.maximum(1, per_run(lengths, runs))
-    number: dict[bytes, int] = defaultdict()
-    number.default_factory = number.__len__
-    ids = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-    _, first = np.unique(passage * len(number) + ids, return_index=True)
+    ids, distinct = numbered(lists)
+    _, first = np.unique(passage * len(distinct) + ids, return_index=True)
     fresh_word = np.zeros(len(words), bool)
     fresh_word[first] = True
     # A word's shingle is new if the same three words did not stand earlier in the text.

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tallyrank.llm.common import SPACE, by_bytes, offsets, per_run, texts_of, word_bytes
+from tallyrank.llm.common import SPACE, by_bytes, numbered, offsets, per_run, texts_of, word_bytes
 
 #: Shortest repeat, in words, whose spans count as covered.
 MIN_REPEAT = 8
@@ -95,9 +93,7 @@ def judge_texts(texts: list[str], min_repeat: int, max_covered: float, max_repea
     lists = [word_bytes(t) for t in texts]
     n_words = np.array([len(x) for x in lists], np.int64)
     bounds = offsets(n_words)
-    number: dict[bytes, int] = defaultdict()
-    number.default_factory = number.__len__
-    words = np.fromiter(map(number.__getitem__, chain.from_iterable(lists)), np.int64, int(bounds[-1]))
+    words, _ = numbered(lists)
     longest = repeat_lengths(words, bounds)
     window = longest >= 3
     in_window = window.copy()
