@@ -103,10 +103,10 @@ SQL: dict[str, str] = {
     "op7_jaccard": r"""
         WITH RECURSIVE w AS MATERIALIZED (
             SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-                   'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS words FROM documents
+                   'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents
         ), s AS MATERIALIZED (
             SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) >= 3 THEN
-                   list_transform(range(1, len(words) - 1), i -> array_to_string(words[i : i + 2], ' '))
+                   list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i : i + 2], ' '))
                    WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS shingle FROM w
         ), n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY 1
         ), p AS MATERIALIZED (
@@ -121,13 +121,13 @@ SQL: dict[str, str] = {
         FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY 1) c USING (doc_id)""",
     "op3_topk": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS vector
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS vector
             FROM embeddings
-            WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ), q AS (SELECT * FROM v WHERE vec_id % 50 = 0
         ), s AS (
             SELECT q.vec_id AS query_id, v.vec_id,
-                   CAST(list_sum(list_transform(list_zip(q.vector, v.vector), z -> z[1] * z[2])) AS BIGINT) AS score
+                   CAST(list_sum(list_transform(list_zip(q.vector, v.vector), lambda z: z[1] * z[2])) AS BIGINT) AS score
             FROM q JOIN v ON q.vec_id <> v.vec_id
         )
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
