@@ -1,5 +1,6 @@
 import base64
 import json
+import random
 
 from tallyrank.llm import secrets
 from tests_llm_brute import awkward, empty  # noqa: F401
@@ -46,6 +47,45 @@ def test_confirmed_only_when_the_structure_holds():
     assert not kinds(f"is {body}.{body}.c2lnbmF0dXJl ok")
 
 
+def wrapped(text, width=64, line="\n"):
+    return line.join(text[i : i + width] for i in range(0, len(text), width))
+
+
+def test_keys_of_every_length_in_every_layout():
+    rng = random.Random(5)
+    for n in range(126, 126 + 2 * 48 + 3):  # every length modulo 3 and 48, from one line's worth to several
+        key = der(0x30, der(0x02, b"\0") + der(0x04, rng.randbytes(n)))
+        for padded in (b64(key), b64(key).rstrip("=")):
+            for line in ("\n", "\r\n", "\n    ", "\n\t", "\\n", "\\r\\n", "\\\\n"):
+                body = wrapped(padded, line=line)
+                for after in ("-----END KEY-----", "Then words", "Th", "", "- item"):
+                    assert kinds(f"-----BEGIN KEY-----{line}{body}{line}{after}").count(("der", body)) == 1, (n, line, after)
+            assert ("der", padded) in kinds(f"at {padded}\nwords follow")
+
+
+def test_neighbouring_lines_hide_no_key():
+    rng = random.Random(6)
+    one, two = (b64(der(0x30, der(0x02, b"\0") + der(0x04, rng.randbytes(n)))).rstrip("=") for n in (150, 151))
+    junk = "x" * 64
+    assert [x for x in kinds(f"{junk}\n{one}\n{two}\n{junk}") if x[0] == "der"] == [("der", one), ("der", two)]
+    assert ("openssh", b64(SSH)) in kinds(f"{b64(SSH)}\nwords")
+    fields = (b"none", b"none", b"")
+    private = b"openssh-key-v1\0" + b"".join(len(x).to_bytes(4, "big") + x for x in fields) + (1).to_bytes(4, "big")
+    for n in range(100, 148):
+        body = wrapped(b64(private + len(SSH).to_bytes(4, "big") + SSH + n.to_bytes(4, "big") + rng.randbytes(n)).rstrip("="), 70)
+        for after in ("-----END OPENSSH PRIVATE KEY-----", "words"):
+            assert ("openssh", body) in kinds(f"-----BEGIN OPENSSH PRIVATE KEY-----\n{body}\n{after}")
+    assert not [x for x in kinds(f"{junk}\n{one[:-8]}\n{junk}") if x[0] == "der"]
+
+
+def test_signed_token_at_the_end_of_a_sentence():
+    head, body = (b64(json.dumps(x).encode(), True).rstrip("=") for x in ({"alg": "HS256"}, {"sub": "12"}))
+    token = f"{head}.{body}.c2lnbmF0dXJl"
+    for after in (".", ". Then", "...", ".\n"):
+        assert kinds(f"It is {token}{after}") == [("jwt", token)]
+    assert not kinds(f"It is {token}.more")
+
+
 def test_order_is_by_start_then_kind():
     text = "token=0123456789abcdef0123"
     assert [k for k, _, _ in secrets.scan_text(text)] == ["assign", "hex"]
