@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import gc
+import json
 import re
 import zlib
 from array import array
@@ -131,16 +132,27 @@ class _Units:
 
     CUT = re.compile(r" (?=\S)")
 
-    def __init__(self, ranks_path: str, pattern: str):
+    def __init__(self, ranks_path: str, pattern: str, added: tuple[tuple[str, int], ...] = ()):
         import tiktoken
 
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.tokenizer = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.ids: dict[str, bytes] = {}
+        self.added = {token: array("I", [number]).tobytes() for token, number in added}
+        # Of added tokens that start at one place the longest counts.
+        self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if added else None
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Native 32-bit ids of each text (little-endian where Spark runs)."""
+        """Native 32-bit ids of each text (little-endian where Spark runs). What stands between added
+        tokens is encoded by itself."""
+        if self.split is None:
+            return self._ordinary(texts)
+        parts = [self.split.split(t) for t in texts]  # ordinary text at even places, added tokens at odd ones
+        encoded = iter(self._ordinary([x for p in parts for x in p[::2]]))
+        return [b"".join(self.added[x] if k % 2 else next(encoded) for k, x in enumerate(p)) for p in parts]
+
+    def _ordinary(self, texts: list[str]) -> list[bytes]:
         units = [self.CUT.split(t) for t in texts]
         ids, encode = self.ids, self.tokenizer.encode_ordinary
         if len(ids) > CACHE_UNITS:
@@ -156,21 +168,33 @@ class _Units:
 
 
 @lru_cache(maxsize=1)
-def _units(ranks_path: str, pattern: str) -> _Units:
+def _units(ranks_path: str, pattern: str, added: tuple[tuple[str, int], ...]) -> _Units:
     """The tokenizer of this worker process, with the units it remembers from earlier tasks."""
-    return _Units(ranks_path, pattern)
+    return _Units(ranks_path, pattern, added)
+
+
+def added_tokens(tokenizer_path: str) -> tuple[tuple[str, int], ...]:
+    """The added tokens of a tokenizer file and their ids. They are matched as they stand, wherever they stand."""
+    with open(tokenizer_path, encoding="utf-8") as file:
+        found = json.load(file)["added_tokens"]
+    odd = [x["content"] for x in found if x["single_word"] or x["lstrip"] or x["rstrip"] or x["normalized"]]
+    if odd:
+        raise ValueError(f"added tokens that match by more than their text: {odd}")
+    return tuple((x["content"], x["id"]) for x in found)
 
 
 def cut_documents(
     docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id", text: str = "text", size: int = SEQUENCE_TOKENS,
+    added: tuple[tuple[str, int], ...] = (),
 ) -> DataFrame:
     """Pieces of at most ``size`` ids of every document's ids and a closing 0: doc_id, start, length,
     ids_crc32, doc_tokens. The ids are those of the byte-level vocabulary in the rank file; ``pattern``
-    splits a text before its merges. A null text is empty and so one closing id."""
+    splits a text before its merges, and ``added`` are tokens with an id of their own wherever they
+    stand. A null text is empty and so one closing id."""
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = _units(ranks_path, pattern)
+        units = _units(ranks_path, pattern, added)
         for part in by_bytes(batches):
             rows, start, length, crc, total = [], [], [], [], []
             for row, ids in enumerate(units.encode(texts_of(part))):
@@ -194,7 +218,7 @@ def cut_documents(
 
 def pack_documents(
     docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id", text: str = "text", limits: tuple[int, int, int] = LIMITS,
-    group_docs: int = GROUP_DOCS,
+    group_docs: int = GROUP_DOCS, added: tuple[tuple[str, int], ...] = (),
 ) -> DataFrame:
     """Documents as training sequences: tokenised, cut at the token limit, the pieces packed.
 
@@ -202,7 +226,7 @@ def pack_documents(
     ids. Documents are independent of one another: null ids and repeated rows are packed like any
     others, an empty table gives no pieces.
     """
-    pieces = cut_documents(docs, ranks_path, pattern, doc_id, text, limits[0])
+    pieces = cut_documents(docs, ranks_path, pattern, doc_id, text, limits[0], added)
     n_groups = groups_for(docs.count(), group_docs)
     rows = pieces.withColumn("sequence_id", F.monotonically_increasing_id())
     loss = F.col("length") - (F.col("start") == 0).cast("bigint")

@@ -32,9 +32,9 @@ def op1_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
-    """The rank file holds the vocabulary of byte_bpe_50k.json, so the ids are the same."""
-    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return packing.pack_documents(_table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
+    """The rank file holds the vocabulary of byte_bpe_50k.json but its added tokens, so with them the ids are the same."""
+    path, added = public_tokenizers.path("byte_bpe_50k.tiktoken"), packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack_documents(_table(spark, folder, "documents"), path, public_tokenizers.PATTERN, added=added)
 
 
 def op3_topk(spark: SparkSession, folder: str) -> DataFrame:

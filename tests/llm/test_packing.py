@@ -94,3 +94,26 @@ def test_full_pieces_stand_alone(spark, limits):
     docs = spark.createDataFrame([(1, "word " * 5000)], "doc_id LONG, text STRING")
     got = packing.pack_documents(docs, *RANKS, limits=limits).collect()
     assert {p.offset for p in got} == {0} and len({p.sequence_id for p in got}) == len(got)
+
+
+HOLDING = ["one <|endoftext|> two", "<|endoftext|>", "a<|endoftext|><|endoftext|> b", " <|endoftext|>\n\n <|endoftext", "x  <|endoftext|>  y's <|ENDOFTEXT|>", ""]
+
+
+def test_added_tokens_have_their_ids():
+    whole = Tokenizer.from_file(PATH)
+    units = packing._Units(*RANKS, packing.added_tokens(PATH))
+    want = [whole.encode(t, add_special_tokens=False).ids for t in HOLDING]
+    assert want[0] == [505, 220, 50256, 734]
+    assert units.encode(HOLDING) == [np.asarray(x, "<u4").tobytes() for x in want]
+
+
+def test_query_and_pipeline_keep_added_tokens(spark, tmp_path):
+    from corpus_pipeline import pack
+    from tallyrank.llm.queries import op2_packing
+
+    docs = spark.createDataFrame(list(enumerate(HOLDING)), "doc_id LONG, text STRING")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    whole = Tokenizer.from_file(PATH)
+    want = {k: zlib.crc32(np.asarray([*whole.encode(t, add_special_tokens=False).ids, 0], "<u4").tobytes()) for k, t in enumerate(HOLDING)}
+    for found in (op2_packing(spark, str(tmp_path)), pack(spark, docs, str(tmp_path))):
+        assert {r.doc_id: r.ids_crc32 for r in found.collect()} == want
