@@ -75,18 +75,22 @@ def heavy_pairs(rows: DataFrame, members: int, groups: int, block: int, chunk: i
     return dealt.groupBy("lo", "hi", "chunk").applyInPandas(_cell_product, schema)
 
 
-def _chunk_pairs(rows: DataFrame, heavy: int) -> DataFrame:
-    """(a, b, value, n) of groups with ``_size`` members, joined by (group, chunk, chunk)."""
-    chunks = F.ceil(F.col("_size") / heavy).cast("int")
-    dealt = rows.withColumn("_c", F.pmod(F.xxhash64("m"), chunks)).withColumn(
-        "_o", F.explode(F.sequence(F.lit(0).cast("bigint"), (chunks - 1).cast("bigint"))))
-    keyed = dealt.withColumn("_lo", F.least("_c", "_o")).withColumn("_hi", F.greatest("_c", "_o"))
-    left = keyed.select("g", "_lo", "_hi", F.col("m").alias("a"), F.col("x").alias("xa"), F.col("_c").alias("ca"))
-    right = keyed.select("g", "_lo", "_hi", F.col("m").alias("b"), F.col("x").alias("xb"), F.col("_c").alias("cb"))
-    # members of one chunk meet under many keys; the pair counts where both chunks are the key's
-    own = (F.least("ca", "cb") == F.col("_lo")) & (F.greatest("ca", "cb") == F.col("_hi"))
-    return left.join(right, ["g", "_lo", "_hi"]).where((F.col("a") < F.col("b")) & own).select(
-        "a", "b", (F.col("xa") * F.col("xb")).alias("value"), F.lit(1).cast("bigint").alias("n"))
+def _chunk_pairs(rows: DataFrame, width: int) -> DataFrame:
+    """(a, b, value, n) of groups with ``_size`` members, joined by (group, chunk, chunk).
+
+    A member stands on the left under (own, own and later chunks) and on the right under (own and
+    earlier chunks, own), so a pair of members meets under one key, or under two orders of the same key
+    where both are of one chunk.
+    """
+    chunks = F.ceil(F.col("_size") / width).cast("int")
+    dealt = rows.withColumn("_last", chunks - 1).withColumn("_c", F.pmod(F.xxhash64("m"), chunks).cast("int"))
+    left = dealt.select("g", F.col("_c").alias("_lo"), F.explode(F.sequence("_c", "_last")).alias("_hi"),
+                        F.col("m").alias("ma"), F.col("x").alias("xa"))
+    right = dealt.select("g", F.explode(F.sequence(F.lit(0), F.col("_c"))).alias("_lo"), F.col("_c").alias("_hi"),
+                         F.col("m").alias("mb"), F.col("x").alias("xb"))
+    met = left.join(right, ["g", "_lo", "_hi"]).where((F.col("_lo") < F.col("_hi")) | (F.col("ma") < F.col("mb")))
+    return met.select(F.least("ma", "mb").alias("a"), F.greatest("ma", "mb").alias("b"),
+                      (F.col("xa") * F.col("xb")).alias("value"), F.lit(1).cast("bigint").alias("n"))
 
 
 def pair_sums(
@@ -115,9 +119,9 @@ def pair_sums(
     if n_hot:
         members = rows.agg(F.approx_count_distinct("m")).first()[0]
         limit = max(heavy, 2 * _blocks(members, block))
-        middle, hot = hot.where(F.col("_size") <= limit), hot.where(F.col("_size") > limit).select("g")
-        light = rows.join(rows.groupBy("g").agg(F.count(F.lit(1)).alias("_size")).where(F.col("_size") <= heavy).select("g"), "g", "left_semi")
-        chunked = _chunk_pairs(rows.join(middle, "g"), heavy)
+        light = rows.join(hot, "g", "left_anti")
+        chunked = _chunk_pairs(rows.join(hot.where(F.col("_size") <= limit), "g"), max(heavy, 1))
+        hot = hot.where(F.col("_size") > limit).select("g")
         n_hot = hot.count()
     else:
         light, chunked = rows, None
