@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrank.llm import jaccard, maxent, packing, pieces, pii, quality, repetition, secrets, topk, toxicity
+from tallyrank.llm import conversation, jaccard, linededup, maxent, packing, pieces, pii, quality, repetition, secrets, topk, toxicity
 from tallyrank.llm.common import crc_remainder
 from tallyrank.session import ship_package
 
@@ -95,8 +95,20 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _table(spark, folder, "conversations")
+    return conversation.repair_conversations(conversation.damaged(rows), rows)
+
+
+def op13_linededup(spark: SparkSession, folder: str) -> DataFrame:
+    found = linededup.dedup_lines(_table(spark, folder, "documents"), linededup.LEAST)
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pieces, op2_packing, op3_topk, op4_repetition, op5_secrets, op6_maxent, op7_jaccard, op8_quality, op9_toxicity, op10_pii)
+    f.__name__: f for f in (
+        op1_pieces, op2_packing, op3_topk, op4_repetition, op5_secrets, op6_maxent, op7_jaccard, op8_quality, op9_toxicity, op10_pii, op12_repair,
+        op13_linededup)
 }
 
 SQL: dict[str, str] = {
@@ -133,4 +145,16 @@ SQL: dict[str, str] = {
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
         FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
         WHERE rank <= 5""",
+    "op13_linededup": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+        ), k AS MATERIALIZED (
+            SELECT r, doc_id, lines, list_transform(lines, lambda x: translate(trim(x, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS keys FROM d
+        ), c AS (
+            SELECT key FROM (SELECT r, unnest(list_distinct(keys)) AS key FROM k) WHERE key <> '' GROUP BY key HAVING count(*) >= 10
+        ), u AS (SELECT r, doc_id, unnest(lines) AS line, unnest(keys) AS key, unnest(range(len(lines))) AS pos FROM k
+        )
+        SELECT doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256
+        FROM u LEFT JOIN c ON c.key = u.key GROUP BY r, doc_id""",
 }
