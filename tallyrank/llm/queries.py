@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrank.llm import conversation, jaccard, linededup, maxent, packing, pieces, pii, quality, repetition, secrets, topk, toxicity
+from tallyrank.llm import conversation, jaccard, linededup, maxent, packing, phrases, pieces, pii, quality, repetition, secrets, topk, toxicity
 from tallyrank.llm.common import crc_remainder
 from tallyrank.session import ship_package
 
@@ -95,6 +95,10 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.mine_phrases(_table(spark, folder, "documents"))
+
+
 def op12_repair(spark: SparkSession, folder: str) -> DataFrame:
     rows = _table(spark, folder, "conversations")
     return conversation.repair_conversations(conversation.damaged(rows), rows)
@@ -107,8 +111,8 @@ def op13_linededup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_pieces, op2_packing, op3_topk, op4_repetition, op5_secrets, op6_maxent, op7_jaccard, op8_quality, op9_toxicity, op10_pii, op12_repair,
-        op13_linededup)
+        op1_pieces, op2_packing, op3_topk, op4_repetition, op5_secrets, op6_maxent, op7_jaccard, op8_quality, op9_toxicity, op10_pii, op11_phrases,
+        op12_repair, op13_linededup)
 }
 
 SQL: dict[str, str] = {
@@ -157,4 +161,32 @@ SQL: dict[str, str] = {
         SELECT doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256
         FROM u LEFT JOIN c ON c.key = u.key GROUP BY r, doc_id""",
+    "op11_phrases": r"""
+        WITH d AS (
+            SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+            FROM documents
+        ), p AS MATERIALIZED (
+            SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w
+            FROM (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)
+        ), g AS MATERIALIZED (
+            SELECT lang, m, phrase, count(*) AS a FROM (
+                SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i : i + m - 1], ' '))) AS phrase
+                FROM p, range(1, 5) AS r(m) WHERE len(w) >= m) GROUP BY 1, 2, 3
+        ), n AS (SELECT lang, sum(a) AS n FROM g WHERE m = 1 GROUP BY 1
+        ), c AS MATERIALIZED (SELECT *, string_split(phrase, ' ') AS w FROM g WHERE m > 1 AND a >= 30
+        ), s AS (
+            SELECT c.lang, c.phrase, c.m, c.a, k, x.a AS l, y.a AS r, CAST(2000000 * CAST(c.a AS HUGEINT) // (x.a + y.a) AS BIGINT) AS score
+            FROM c, range(1, 4) AS q(k)
+            JOIN g x ON x.lang = c.lang AND x.m = k AND x.phrase = array_to_string(c.w[1 : k], ' ')
+            JOIN g y ON y.lang = c.lang AND y.m = c.m - k AND y.phrase = array_to_string(c.w[k + 1 : c.m], ' ')
+            WHERE k < c.m
+        ), b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+        ), i AS (
+            SELECT lang, unnest(list_transform(range(1, m - j + 2), lambda i: array_to_string(w[i : i + j - 1], ' '))) AS phrase, a
+            FROM c, range(2, 4) AS o(j) WHERE j < m
+        ), u AS (SELECT lang, phrase, max(a) AS f FROM i GROUP BY 1, 2
+        ), f AS (SELECT b.* FROM b LEFT JOIN u USING (lang, phrase) WHERE u.f IS NULL OR 100 * u.f < 80 * b.a
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, CAST(n.n AS BIGINT) AS n, score
+        FROM f JOIN n USING (lang) QUALIFY rank <= 2000""",
 }
