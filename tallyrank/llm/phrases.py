@@ -35,7 +35,7 @@ HEAD = 1 << 18
 #: Ranks along a tile's side, and tiles along the side of the square that is kept as arrays.
 TILE, DENSE = 1024, 4
 #: Pairs that a task collects outside that square before it counts them, and pairs that one bucket of the others gets on average.
-BUFFER, BUCKET_PAIRS = 1 << 22, 1 << 22
+BUFFER, BUCKET_PAIRS = 1 << 20, 1 << 21
 #: Entries of one row of counts, and rows of counts that one task adds up before another task takes over.
 ROW_ENTRIES, ROWS_TOGETHER = 4096, 16_384
 #: Not a symbol: the border of a piece, or a word or phrase that is not frequent.
@@ -137,15 +137,18 @@ class Tiles:
     def __init__(self, buckets: int):
         self.buckets, self.dense = buckets, {}
         self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
-        self.size = 0
+        self.size = self.added = 0
 
     def add(self, a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
         near = (a >= 0) & (b >= 0) & (a < _SQUARE) & (b < _SQUARE)
         x, y = a[near], b[near]
         tile, code = x // TILE * DENSE + y // TILE, x % TILE * TILE + y % TILE
         for t in np.flatnonzero(np.bincount(tile, minlength=1)):
-            found = np.bincount(code[tile == t], minlength=TILE * TILE)
-            self.dense[t] = self.dense[t] + found if t in self.dense else found
+            cells = self.dense.setdefault(t, np.zeros(TILE * TILE, np.int32))
+            cells += np.bincount(code[tile == t], minlength=TILE * TILE).astype(np.int32)
+        self.added += len(x)
+        if self.added >= 1 << 30:  # long before a cell is full
+            yield from self.finish()
         self.waiting.append((a[~near], b[~near]))
         self.size += len(a) - len(x)
         if self.size >= BUFFER:
@@ -166,7 +169,8 @@ class Tiles:
         yield from self.sparse()
         for t, cells in self.dense.items():
             code = np.flatnonzero(cells)
-            yield _part_rows(int(t), code.astype("<u4"), None, cells[code])
+            yield _part_rows(int(t), code.astype("<u4"), None, cells[code].astype(np.int64))
+        self.dense, self.added = {}, 0
 
 
 class _Sum:
