@@ -7,7 +7,8 @@ again, two overlapping pairs are a phrase of three words, and so on, always with
 
 Numbers given by rank are bounded (``HEAD``), so the tables that tasks look them up in are too. Where more
 symbols than that are frequent, the others go by a 64-bit hash, in the sorted coordinates: exact as well
-(but for a collision of such hashes), and rare by Zipf's law.
+(but for a collision of such hashes), and rare by Zipf's law. A bit table of fixed size (``BITS``) tells most symbols
+that are not frequent from those; what it lets through is counted and found to be rare.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ LEAST, LONGEST, ROWS = 30, 4, 2000
 COVERED = 80
 #: Symbols of one length that are numbered by rank.
 HEAD = 1 << 18
+#: Bits of the table of frequent symbols without a rank.
+BITS = 1 << 26
 #: Ranks along a tile's side, and tiles along the side of the square that is kept as arrays.
 TILE, DENSE = 1024, 4
 #: Pairs that a task collects outside that square before it counts them, and pairs that one bucket of the others gets on average.
@@ -63,34 +66,57 @@ def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return ((x | np.uint64(1 << 63)) | np.uint64(1)).view(np.int64)
 
 
+def _bits(symbols: DataFrame) -> np.ndarray | None:
+    """A bit for each hashed ``id``, or None where there is none. Its size is fixed, whatever the rows."""
+    place = F.shiftright("id", 8).bitwiseAND(F.lit(BITS - 1))
+    words = symbols.where(F.col("id") < 0).select(
+        F.shiftright(place, 6).alias("w"), F.expr("shiftleft(1L, cast(shiftright(id, 8) & 63 as int))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    if not words.num_rows:
+        return None
+    out = np.zeros(BITS // 64, np.int64)
+    out[words["w"].to_numpy()] = words["b"].to_numpy()
+    return out
+
+
+def _known(bits: np.ndarray | None, ids: np.ndarray) -> np.ndarray:
+    """``ids``, with CUT where a hashed one has no bit."""
+    if bits is None:
+        return np.full(len(ids), CUT)
+    place = ids >> 8 & BITS - 1
+    return np.where(bits[place >> 6] >> (place & 63) & 1, ids, CUT)
+
+
 class Words:
-    """Numbers of the words of each language. ``rest``: other words may be frequent too, and go by hash."""
+    """Numbers of the words of each language: ranks, then hashes of those that ``bits`` lets through."""
 
-    def __init__(self, ranked: list[tuple[str, str]], rest: bool):
-        self.rest = rest
+    def __init__(self, ranked: list[tuple[str, str]]):
+        self.bits: np.ndarray | None = None
         self.ranks: dict[str, dict[bytes, int]] = defaultdict(dict)
         for rank, (lang, word) in enumerate(ranked):
             self.ranks[lang][word.encode("utf-8", "surrogatepass")] = rank
 
-    def numbers(self, lang: str, words: list[bytes]) -> list[int]:
-        ranks = self.ranks.get(lang, {})
-        if self.rest:
-            return [CUT if w == _BORDER else ranks[w] if w in ranks else _hashed(lang, w) for w in words]
-        return list(map(ranks.get, words, repeat(CUT)))
+    def numbers(self, lang: str, words: list[bytes]) -> np.ndarray:
+        out = np.fromiter(map(self.ranks.get(lang, {}).get, words, repeat(CUT)), np.int64, len(words))
+        if self.bits is not None:
+            rest = [i for i in np.flatnonzero(out == CUT).tolist() if words[i] != _BORDER]
+            out[rest] = _known(self.bits, np.array([_hashed(lang, words[i]) for i in rest], np.int64))
+        return out
 
 
 class Pairs:
-    """Numbers of pairs of symbols."""
+    """Numbers of pairs of symbols, likewise."""
 
-    def __init__(self, ranked: list[tuple[int, int]], rest: bool):
+    def __init__(self, ranked: list[tuple[int, int]]):
         keys = np.array([a << 32 | b for a, b in ranked], np.int64)
-        self.rest, self.ranks = rest, np.argsort(keys, kind="stable")
+        self.ranks = np.argsort(keys, kind="stable")
         self.keys = keys[self.ranks]
+        self.bits: np.ndarray | None = None
 
-    def numbers(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        valid = (a != CUT) & (b != CUT)
-        out = np.where(valid, _mixed(a, b), CUT) if self.rest else np.full(len(a), CUT)
-        ranked = np.flatnonzero(valid & (a >= 0) & (b >= 0))
+    def numbers(self, a: np.ndarray, b: np.ndarray, every: bool = False) -> np.ndarray:
+        """With ``every``, all pairs are known to be frequent."""
+        out = _mixed(a, b) if every else _known(self.bits, _mixed(a, b)) if self.bits is not None else np.full(len(a), CUT)
+        out[(a == CUT) | (b == CUT)] = CUT
+        ranked = np.flatnonzero((a >= 0) & (b >= 0))
         if len(self.keys) and len(ranked):
             key = a[ranked] << 32 | b[ranked]
             at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
@@ -273,11 +299,8 @@ def pair_counts(docs: DataFrame, words: Words, pairs: list[Pairs], buckets: int,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tiles = Tiles(buckets)
         for langs, texts in _slices(batches):
-            row: list[int] = []
-            for own, t in zip(langs, texts, strict=True):
-                row += words.numbers(own, tokens(t))
-                row.append(CUT)
-            symbols = np.array(row, np.int64)
+            border = np.array([CUT])
+            symbols = np.concatenate([x for own, t in zip(langs, texts, strict=True) for x in (words.numbers(own, tokens(t)), border)])
             for level in pairs:
                 symbols = level.numbers(symbols[:-1], symbols[1:])
             a, b = symbols[:-1], symbols[1:]
@@ -288,16 +311,12 @@ def pair_counts(docs: DataFrame, words: Words, pairs: list[Pairs], buckets: int,
     return _und(docs, text, lang).mapInArrow(run, _PARTS_DDL)
 
 
-def _head(rows: DataFrame, order: list[str], least: int, head: int) -> tuple[list, bool]:
-    """At most ``head`` of the most frequent rows by falling n, then ``order``; whether there are more rows."""
-    count = rows.count()
-    kept = count
-    while kept > head:
+def _head(rows: DataFrame, order: list[str], least: int, head: int) -> list[tuple]:
+    """At most ``head`` of the most frequent rows, by falling n, then ``order``."""
+    while (kept := rows.where(F.col("n") >= least)).count() > head:
         least *= 2
-        kept = rows.where(F.col("n") >= least).count()
-    found = rows.where(F.col("n") >= least).select(*order, "n").collect() if kept else []
-    found.sort(key=lambda r: (-r["n"], *r[:-1]))
-    return [tuple(r)[:-1] for r in found], kept < count
+    found = kept.select(F.negate("n").alias("n"), *order).toArrow()
+    return [r[1:] for r in sorted(zip(*(c.to_pylist() for c in found.columns), strict=True))]
 
 
 def _numbered(rows: DataFrame, numbers, columns: list[str]) -> DataFrame:
@@ -340,8 +359,7 @@ def mine_phrases(
     totals = counts.groupBy("lang").agg(F.sum("n").alias("_words"))
     buckets = max(1, -(-(counts.agg(F.sum("n")).first()[0] or 0) // BUCKET_PAIRS))
     frequent = counts.where(F.col("n") >= least)
-    ranked, rest = _head(frequent, ["lang", "word"], least, head)
-    words, pairs = Words(ranked, rest), []
+    words, pairs = Words(_head(frequent, ["lang", "word"], least, head)), []
 
     def number_words(langs: pa.Array, own: pa.Array) -> list[int]:
         each = zip(langs.to_pylist(), own.cast(pa.binary()).to_pylist(), strict=True)
@@ -349,20 +367,19 @@ def mine_phrases(
 
     symbols = written(_numbered(frequent, number_words, ["lang", "word"]).select(
         "id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "n", F.array("n").alias("pre"), F.array("n").alias("suf")), "symbols")
+    words.bits = _bits(symbols)
     levels = []
     for _ in range(longest - 1):
         found = _add_up(written(pair_counts(docs, words, pairs, buckets, text, lang), "part-counts"), least, together)
         # numbers by rank are for pairs of ranked symbols, whose key is exact
-        exact = found.where((F.col("a") >= 0) & (F.col("b") >= 0))
-        ranked, more = _head(exact, ["a", "b"], least, head)
-        level = Pairs(ranked, more or not found.where((F.col("a") < 0) | (F.col("b") < 0)).isEmpty())
-        named = Pairs(ranked, True)  # every row here is frequent and so has a number
-        ids = _numbered(found, lambda a, b, named=named: named.numbers(a.to_numpy(), b.to_numpy()), ["a", "b"]).withColumnRenamed("n", "m")
+        level = Pairs(_head(found.where((F.col("a") >= 0) & (F.col("b") >= 0)), ["a", "b"], least, head))
+        ids = _numbered(found, lambda a, b, level=level: level.numbers(a.to_numpy(), b.to_numpy(), True), ["a", "b"]).withColumnRenamed("n", "m")
         left = symbols.select(F.col("id").alias("a"), "lang", F.col("phrase").alias("_p"), F.col("pre").alias("_pre"))
         right = symbols.select(F.col("id").alias("b"), "last", F.col("suf").alias("_suf"))
         symbols = written(ids.join(left, "a").join(right, "b").select(
             "id", "a", "b", "lang", F.concat_ws(" ", "_p", "last").alias("phrase"), "last", F.col("m").alias("n"),
             F.array_append("_pre", F.col("m")).alias("pre"), F.array_append("_suf", F.col("m")).alias("suf")), "symbols")
+        level.bits = _bits(symbols)
         levels.append(symbols)
         pairs.append(level)
     kept = None
