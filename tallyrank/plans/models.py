@@ -113,13 +113,22 @@ def _(t):
 
 @query("slim_weights")
 def _(t):
-    return slim.slim_weights(t.brand_ratings)
+    return slim.slim_weights(t.interactions)
 
 
 @query("slim_recommend")
 def _(t):
-    train = t.brand_ratings.where(hash_prefix("user_id", "item_id") < "b3")
-    return slim.slim_recommend(train, slim.slim_weights(train), 10)
+    return slim.slim_recommend(t.train, slim.slim_weights(t.train), 10)
+
+
+@query("slim_optimality", with_views("inter", """
+    SELECT t, round(0.02 * max(n), 6) AS b, TRUE AS proven FROM (
+      SELECT x.item_id AS t, y.item_id AS j, count(*) AS n FROM inter x JOIN inter y USING (user_id)
+      WHERE x.item_id <> y.item_id GROUP BY 1, 2) GROUP BY 1"""))
+def _(t):
+    """Every column of the weights meets its optimality conditions to within the tolerance, by sums of their own."""
+    found = slim.slim_optimality(t.interactions, slim.slim_weights(t.interactions))
+    return found.select("t", F.round("b", 6).alias("b"), (F.col("distance") <= 1e-3).alias("proven"))
 
 
 # ---- clusters ----------------------------------------------------------------------

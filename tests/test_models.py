@@ -82,15 +82,42 @@ def _slim_dense(g, ratio=0.02, alpha=0.5):
     return w
 
 
-@pytest.mark.parametrize("limit,atol", [(1500, 1e-2), (0, 1e-2)])
-def test_slim_local_and_distributed(ratings, limit, atol):
-    seen = (R > 0).astype(float)
-    want = _slim_dense(seen.T @ seen)
-    got = np.zeros((4, 4))
-    for r in slim.slim_weights(ratings, tol=1e-6, local_limit=limit, rounds=60).collect():
+def _slim_matrix(rows, n, **options):
+    got = np.zeros((n, n))
+    for r in slim.slim_weights(rows, **options).collect():
         got[r.j, r.t] = r.w
-    assert np.allclose(got, want, atol=atol if limit else 0.12)
-    assert (np.diag(got) == 0).all()
+    return got
+
+
+@pytest.mark.parametrize("entries,cell", [(1 << 25, 1 << 24), (60, 1 << 24), (40, 30)])
+def test_slim_is_as_near_as_proven_at_every_width(spark, entries, cell):
+    rng = np.random.default_rng(8)
+    seen = (rng.random((30, 14)) < 0.15 + rng.random(14) * 0.6).astype(float)
+    rows = spark.createDataFrame([(int(u), int(i)) for u, i in zip(*np.nonzero(seen))], "user_id LONG, item_id LONG")
+    want = _slim_dense(seen.T @ seen)
+    got = _slim_matrix(rows, 14, block_entries=entries, cell_weights=cell)
+    assert np.linalg.norm(got - want, axis=0).max() <= 1e-3 and (np.diag(got) == 0).all() and (got >= 0).all()
+    weights = spark.createDataFrame([(int(j), int(t), float(got[j, t])) for j, t in zip(*np.nonzero(got))], "j LONG, t LONG, w DOUBLE")
+    proven = {r.t: r.distance for r in slim.slim_optimality(rows, weights).collect()}
+    assert len(proven) == 14 and max(proven.values()) <= 1e-3
+    worse = weights.withColumn("w", F.col("w") + 0.05)
+    assert max(r.distance for r in slim.slim_optimality(rows, worse).collect()) > 1e-2
+
+
+@pytest.mark.parametrize("users,targets", [(4096, 1024), (3, 4)])
+def test_slim_recommend_matches_dense_sums(spark, users, targets):
+    rng = np.random.default_rng(9)
+    seen = rng.random((20, 15)) < 0.3
+    w = np.round(rng.random((15, 15)) * (rng.random((15, 15)) < 0.5), 1)
+    history = spark.createDataFrame([(int(u), int(i)) for u, i in zip(*np.nonzero(seen))], "user_id LONG, item_id LONG")
+    weights = spark.createDataFrame([(int(j), int(t), float(w[j, t])) for j, t in zip(*np.nonzero(w))], "j LONG, t LONG, w DOUBLE")
+    got = {(r.user_id, r["rank"]): (r.item_id, round(r.score, 9)) for r in slim.top_unseen(history, weights, 4, users, targets).collect()}
+    want = {}
+    for u in range(20):
+        score = np.round(seen[u] @ w, 9) * ~seen[u]
+        order = sorted((i for i in range(15) if score[i] > 0), key=lambda i: (-score[i], i))[:4]
+        want |= {(u, k): (i, round(float(score[i]), 9)) for k, i in enumerate(order, 1)}
+    assert got == want
 
 
 def _vectors(spark, n=40, d=6, seed=3):
