@@ -89,7 +89,7 @@ def _slim_matrix(rows, n, **options):
     return got
 
 
-@pytest.mark.parametrize("entries,cell", [(1 << 25, 1 << 24), (60, 1 << 24), (40, 30)])
+@pytest.mark.parametrize("entries,cell", [(1 << 25, 1 << 24), (120, 60)])
 def test_slim_is_as_near_as_proven_at_every_width(spark, entries, cell):
     rng = np.random.default_rng(8)
     seen = (rng.random((30, 14)) < 0.15 + rng.random(14) * 0.6).astype(float)
