@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyrank.operators import bandit
+from tallyrank.operators import bandit, embed
 from tallyrank.operators import profiles as pf
 from tallyrank.operators import walks as wk
-from tallyrank.operators.relational import history_chunks
+from tallyrank.operators.ranking import position
 from tallyrank.plans.chains import symmetric_inverse
 from tallyrank.plans.neighbours import SUPPLIER_EDGES, supplier_edges
 from tallyrank.plans.registry import REGISTRY, with_views
@@ -230,12 +230,28 @@ def _spread(vectors):
 
 @query("graph_embeddings")
 def _(t):
-    sentences = wk.walk_sentences(wk.uniform_walks(_graph(t), 10, 10))
-    return _spread(wk.skip_gram(sentences, 32, 5))
+    tokens = wk.uniform_walks(_graph(t), 80, 10).select(F.col("walk").alias("seq"), F.col("step").alias("pos"), "node")
+    return _spread(embed.skip_gram(embed.window_pairs(tokens, 5), 128, 5))
 
 
 @query("item2vec")
 def _(t):
-    lists = history_chunks(t.interactions, ["item_id"]).select(
-        F.transform("item_id", lambda x: x.cast("string")).alias("words"))
-    return _spread(wk.skip_gram(lists, 32, 100))
+    return _spread(embed.skip_gram(embed.history_pairs(t.interactions), 8, 10, negatives=30))
+
+
+@query("window_pairs", """
+    WITH h AS (SELECT o_custkey AS seq, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS pos,
+                      o_orderpriority AS node FROM orders),
+    p AS (SELECT x.node AS a, y.node AS b FROM h x JOIN h y ON x.seq = y.seq AND y.pos > x.pos AND y.pos <= x.pos + 3)
+    SELECT c, o, CAST(count(*) AS DOUBLE) AS n FROM (SELECT a AS c, b AS o FROM p UNION ALL SELECT b, a FROM p) GROUP BY 1, 2""")
+def _(t):
+    placed = position(t.orders, ["o_custkey"], [F.col("o_orderdate"), F.col("o_orderkey")])
+    tokens = placed.select(F.col("o_custkey").alias("seq"), "pos", F.col("o_orderpriority").alias("node"))
+    return embed.window_pairs(tokens, 3)
+
+
+@query("history_pairs", with_views("inter", """
+    SELECT x.item_id AS c, y.item_id AS o, CAST(count(*) AS DOUBLE) AS n FROM inter x JOIN inter y USING (user_id)
+    WHERE x.item_id <> y.item_id GROUP BY 1, 2"""))
+def _(t):
+    return embed.history_pairs(t.interactions)

@@ -1,9 +1,11 @@
+import hashlib
 from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tallyrank.operators import embed, sampling
 from tallyrank.operators import walks as wk
 from tallyrank.streaming import twins
 from tallyrank.operators import bandit
@@ -97,10 +99,48 @@ def test_stream_upsert_over_several_batches(spark, tmp_path):
     assert {r.k: (r.v, r.x) for r in got.collect()} == want
 
 
-def test_skip_gram_covers_every_node(graph):
-    sentences = wk.walk_sentences(wk.uniform_walks(graph, 5, 4))
-    rows = wk.skip_gram(sentences, 8, 3).collect()
-    assert {r.id for r in rows} == set("abcde") and all(len(r.vec) == 8 for r in rows)
+def test_window_pairs_by_hand(spark):
+    rows = [("s", p, x) for p, x in enumerate("abcab")] + [("t", 7, "c"), ("t", 8, "a"), ("t", 11, "b")]
+    got = {(r.c, r.o): r.n for r in embed.window_pairs(spark.createDataFrame(rows, "seq STRING, pos LONG, node STRING"), 2).collect()}
+    want = {}
+    for s, p, x in rows:
+        for t, q, y in rows:
+            if s == t and 0 < abs(p - q) <= 2:
+                want[x, y] = want.get((x, y), 0) + 1
+    assert got == want
+
+
+@pytest.mark.parametrize("block", [8192, 3])
+def test_skip_gram_rounds_match_dense_rounds(spark, block):
+    """Two groups of nodes that meet inside and hardly across; three rounds against the same rounds by dense algebra."""
+    nodes = 10
+    rows = [(a, b, 8.0 if a % 2 == b % 2 else 1.0) for a in range(nodes) for b in range(nodes) if a != b]
+    pairs = spark.createDataFrame(rows, "c LONG, o LONG, n DOUBLE")
+    n = np.zeros((nodes, nodes))
+    for a, b, x in rows:
+        n[a, b] = x
+    vocab = spark.createDataFrame([(i, float(n[i].sum()), i) for i in range(nodes)], "item_id LONG, n DOUBLE, idx LONG")
+    neg = np.zeros((nodes, nodes))
+    for r in sampling.unigram_negatives(vocab.select(F.col("item_id").alias("user_id"), "item_id"), vocab, embed.DRAWS).collect():
+        neg[r.user_id, r.neg] += n[r.user_id].sum() * 5 / embed.DRAWS
+    unit = lambda i, d: int(hashlib.md5(f"u-{i}-{d}".encode()).hexdigest()[:8], 16) / 2**32
+    u = np.array([[(unit(i, d) - 0.5) / 2.0 for d in range(4)] for i in range(nodes)])
+    v = np.zeros((nodes, 4))
+    losses = []
+    for _ in range(12):
+        p = 1 / (1 + np.exp(-u @ v.T))
+        losses.append(-(n * np.log(p) + neg * np.log(1 - p)).sum())
+        pull, w = n * (1 - p) - neg * p, n + neg
+        u, v = u + 4.0 / (1 + w.sum(1))[:, None] * (pull @ v), v + 4.0 / (1 + w.sum(0))[:, None] * (pull.T @ u)
+        if len(losses) == 3:
+            third = u
+    got = embed.skip_gram(pairs, 4, 3, block=block).collect()
+    assert np.allclose(np.array([r.vec for r in sorted(got, key=lambda r: r.id)]), third, atol=1e-9)
+    assert losses[-1] < losses[0]
+    unit_u = u / np.linalg.norm(u, axis=1, keepdims=True)
+    cosine = unit_u @ unit_u.T
+    same = np.equal.outer(np.arange(nodes) % 2, np.arange(nodes) % 2) & ~np.eye(nodes, dtype=bool)
+    assert cosine[same].mean() > cosine[~same & ~np.eye(nodes, dtype=bool)].mean()
 
 
 def test_biased_walks_end_on_a_node_without_edges(spark):
