@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyrank.operators.fused import top_unseen
 from tallyrank.operators.gram import HEAVY_GROUP, mirror, pair_sums, product_sums
 from tallyrank.operators.ranking import top_k
+from tallyrank.session import hold
 
 TIE_DIGITS = 9  # scores are ranked after rounding here, then by id, so ties are stable
 
@@ -115,6 +117,15 @@ def predict_by_items(inter: DataFrame) -> DataFrame:
     )
 
 
+def recommend_by_items(inter: DataFrame, n: int = 20) -> DataFrame:
+    """(user_id, item_id, rank, score): the unseen items with the largest ``predict_by_items``, without the table of all
+    predictions: each cell of users and items keeps n per user."""
+    sim = with_diagonal(dense_cosine(inter), inter.select("item_id").distinct(), "item_id")
+    weight = sim.groupBy(F.col("i").alias("t")).agg(F.sum(F.abs("w")).alias("_total"))
+    weights = sim.select("j", F.col("i").alias("t"), "w").join(weight, "t").select("j", "t", (F.col("w") / F.col("_total")).alias("w"))
+    return top_unseen(inter, hold(weights), n, value="rating")
+
+
 def predict_by_users(inter: DataFrame) -> DataFrame:
     """(user_id, item_id, pred) = mean_u + sum_v s_uv (r_vi - mean_v) / sum_v |s_uv|.
 

@@ -152,6 +152,17 @@ def _(t):
     return _rounded(recs.select("user_id", "item_id", "rank", "score"), "score")
 
 
+ITEM_PREDICT = {name: sql.replace("brand", "train") for name, sql in BRAND_PREDICT.items()}
+
+
+@query("topn_unseen_items", with_views(
+    "train", TOP_N.format(n=20), **ITEM_PREDICT,
+    scored="SELECT p.user_id, p.item_id, p.pred AS score FROM pred p ANTI JOIN train b USING (user_id, item_id)"))
+def _(t):
+    """Over single items, where all predictions would be users times items."""
+    return _rounded(nb.recommend_by_items(t.train, 20), "score")
+
+
 WEIGHTED = """SELECT item_id, round(v / (v + m) * r + {second} / (v + m) * c, 6) AS score
     FROM items, (SELECT avg(r) AS c, avg(v) AS m FROM items)"""
 

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import RATINGS
-from tallyrank.operators import bandit, factor as fa, learning as ln, slim, vectors as vec
+from tallyrank.operators import bandit, factor as fa, fused, learning as ln, slim, vectors as vec
 
 R = np.array(RATINGS, dtype=float)
 
@@ -104,17 +104,18 @@ def test_slim_is_as_near_as_proven_at_every_width(spark, entries, cell):
     assert max(r.distance for r in slim.slim_optimality(rows, worse).collect()) > 1e-2
 
 
-@pytest.mark.parametrize("users,targets", [(4096, 1024), (3, 4)])
-def test_slim_recommend_matches_dense_sums(spark, users, targets):
+@pytest.mark.parametrize("users,targets,value", [(4096, 1024, None), (3, 4, "x")])
+def test_slim_recommend_matches_dense_sums(spark, users, targets, value):
     rng = np.random.default_rng(9)
     seen = rng.random((20, 15)) < 0.3
     w = np.round(rng.random((15, 15)) * (rng.random((15, 15)) < 0.5), 1)
-    history = spark.createDataFrame([(int(u), int(i)) for u, i in zip(*np.nonzero(seen))], "user_id LONG, item_id LONG")
+    times = rng.integers(1, 6, (20, 15)) * seen
+    history = spark.createDataFrame([(int(u), int(i), int(times[u, i])) for u, i in zip(*np.nonzero(seen))], "user_id LONG, item_id LONG, x LONG")
     weights = spark.createDataFrame([(int(j), int(t), float(w[j, t])) for j, t in zip(*np.nonzero(w))], "j LONG, t LONG, w DOUBLE")
-    got = {(r.user_id, r["rank"]): (r.item_id, round(r.score, 9)) for r in slim.top_unseen(history, weights, 4, users, targets).collect()}
+    got = {(r.user_id, r["rank"]): (r.item_id, round(r.score, 9)) for r in fused.top_unseen(history, weights, 4, users, targets, value).collect()}
     want = {}
     for u in range(20):
-        score = np.round(seen[u] @ w, 9) * ~seen[u]
+        score = np.round((times if value else seen)[u] @ w, 9) * ~seen[u]
         order = sorted((i for i in range(15) if score[i] > 0), key=lambda i: (-score[i], i))[:4]
         want |= {(u, k): (i, round(float(score[i]), 9)) for k, i in enumerate(order, 1)}
     assert got == want
