@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyrank.operators import embed, sampling
+from tallyrank.operators import embed, profiles, sampling
 from tallyrank.operators import walks as wk
 from tallyrank.streaming import twins
 from tallyrank.operators import bandit
@@ -99,6 +99,57 @@ def test_stream_upsert_over_several_batches(spark, tmp_path):
     assert {r.k: (r.v, r.x) for r in got.collect()} == want
 
 
+def test_stopped_streams_go_on_with_a_new_query(spark, tmp_path, monkeypatch):
+    schema = "k LONG, v LONG, op STRING, x STRING"
+    base = spark.createDataFrame([(k, 0, "upsert", "base") for k in range(20)], schema)
+    state, folder = str(tmp_path / "state"), tmp_path / "in"
+    folder.mkdir()
+
+    def arrive(n, rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / f"part{n}"))
+        for file in (tmp_path / f"part{n}").glob("*.parquet"):
+            (folder / f"{n}-{file.name}").write_bytes(file.read_bytes())
+
+    def run(first):
+        return twins.stream_profile_upsert(spark, str(folder), base.schema, lambda df: df, first, "k", ["v"], ["x"], rows_per_bucket=5, files_per_batch=1, state=state)
+
+    for n in range(3):
+        arrive(n, [(k, n + 1, "upsert", f"round {n}") for k in range(n, 20)])
+    run(base)
+    arrive(3, [(5, 9, "upsert", "late"), (6, 9, "delete", "")])
+    whole, calls = profiles.latest_versions, []
+
+    def fails(*given):
+        calls.append(1)
+        raise RuntimeError("stopped in the middle of a batch")
+
+    monkeypatch.setattr(profiles, "latest_versions", fails)
+    with pytest.raises(Exception, match="stopped in the middle"):
+        run(base)
+    monkeypatch.setattr(profiles, "latest_versions", whole)
+    other = spark.createDataFrame([], schema)  # the base is not read again
+    got = {r.k: (r.v, r.x) for r in run(other).collect()}
+    want = {k: (min(k, 2) + 1, f"round {min(k, 2)}") for k in range(20)} | {5: (9, "late")}
+    del want[6]
+    assert calls and got == want
+    kept = {int(f.name.partition("=")[2]) for f in (tmp_path / "state" / "profiles").glob("bucket=*/batch=*")}
+    assert kept <= {2, 3} and len(list((tmp_path / "state" / "versions").iterdir())) == 2
+
+
+def test_stopped_arm_sums_go_on(spark, tmp_path):
+    schema = "arm STRING, reward INT, x0 DOUBLE"
+    rows = [[("a", 1, 1.0), ("b", 0, 2.0)], [("a", 0, 3.0)], [("b", 1, 0.5), ("c", 1, 1.0)]]
+    folder = tmp_path / "in"
+    got = None
+    for n, part in enumerate(rows):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(folder))
+        got = twins.stream_arm_sums(spark, str(folder), spark.createDataFrame([], schema).schema, lambda df: df, ["x0"], str(tmp_path / "state"))
+    everything = spark.createDataFrame([r for part in rows for r in part], schema)
+    want = bandit.linucb_sums(everything, "arm", ["x0"], "reward").toPandas().sort_values("arm")
+    mine = got.toPandas().sort_values("arm")[list(want.columns)]
+    assert list(mine.arm) == list(want.arm) and np.allclose(mine.drop(columns="arm"), want.drop(columns="arm"))
+
+
 def test_window_pairs_by_hand(spark):
     rows = [("s", p, x) for p, x in enumerate("abcab")] + [("t", 7, "c"), ("t", 8, "a"), ("t", 11, "b")]
     got = {(r.c, r.o): r.n for r in embed.window_pairs(spark.createDataFrame(rows, "seq STRING, pos LONG, node STRING"), 2).collect()}
