@@ -150,6 +150,28 @@ def test_stopped_arm_sums_go_on(spark, tmp_path):
     assert list(mine.arm) == list(want.arm) and np.allclose(mine.drop(columns="arm"), want.drop(columns="arm"))
 
 
+@pytest.mark.parametrize("both", [True, False])
+def test_common_weights_by_brute_force(spark, both):
+    rng = np.random.default_rng(6)
+    w = {(int(a), int(b)): float(x) for a, b, x in zip(rng.integers(0, 14, 70), rng.integers(0, 14, 70), rng.integers(1, 5, 70))}
+    if both:
+        w |= {(b, a): x for (a, b), x in w.items()}
+    edges = spark.createDataFrame([(a, b, x) for (a, b), x in w.items()], "src LONG, dst LONG, w DOUBLE")
+    got = {(r.prev, r.cur): r.common for r in wk.common_weights(edges).collect()}
+    want = {}
+    for cur, prev in w:
+        total = sum(x for (s, g), x in w.items() if s == cur and (prev, g) in w)
+        if total:
+            want[prev, cur] = total
+    assert got == want
+
+
+def test_a_hub_makes_no_two_step_pairs(spark):
+    star = spark.range(1, 100_001).select(F.lit(0).cast("bigint").alias("src"), F.col("id").alias("dst"), F.lit(1.0).alias("w"))
+    rows = wk.second_order(wk.undirected(star))
+    assert rows.count() == 200_000 and rows.where("near > 1").count() == 0
+
+
 def test_window_pairs_by_hand(spark):
     rows = [("s", p, x) for p, x in enumerate("abcab")] + [("t", 7, "c"), ("t", 8, "a"), ("t", 11, "b")]
     got = {(r.c, r.o): r.n for r in embed.window_pairs(spark.createDataFrame(rows, "seq STRING, pos LONG, node STRING"), 2).collect()}
