@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (
-    FMClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier,
+    FMClassifier, LogisticRegression, RandomForestClassifier,
 )
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyrank.functions.hashing import hash_int, key_digest
+from tallyrank.operators import boosting as bo
 from tallyrank.operators.ranking import position
 from tallyrank.operators.splits import stratified_folds
 from tallyrank.session import hold
@@ -46,46 +48,38 @@ def logistic_wide(train: DataFrame, test: DataFrame, strength: float = 0.001, l1
     return probability(model.transform(test))
 
 
-def _gbt(depth: int = 4, rounds: int = 10, seed: int = 9) -> GBTClassifier:
-    return GBTClassifier(maxDepth=depth, maxIter=rounds, seed=seed, checkpointInterval=-1)
-
-
-def gbdt(train: DataFrame, test: DataFrame, depths: tuple[int, ...] = (2, 3), rounds: int = 4, folds: int = 3) -> DataFrame:
-    """Boosted trees with the depth chosen by cross-validated AUC."""
-    base = _gbt(rounds=rounds)
-    grid = ParamGridBuilder().addGrid(base.maxDepth, list(depths)).build()
-    search = CrossValidator(estimator=base, estimatorParamMaps=grid, numFolds=folds, seed=9, parallelism=2,
-                            evaluator=BinaryClassificationEvaluator())
-    return probability(search.fit(train).transform(test))
+CTR_TREES = bo.Setting(trees=20, leaves=1024, depth=10, rows=0.7, fresh=1, columns=0.5, ridge=1.0, least_rows=1,
+                       least_weight=1.2, least_gain=0.4)
+LEAF_TREES = bo.Setting(trees=100, leaves=64, rate=0.01, rows=0.8, fresh=5, columns=0.9)
 
 
-def leaf_rows(model, rows: DataFrame) -> DataFrame:
-    """Adds ``leaves``: per tree the leaf the row falls into."""
-    return model.setLeafCol("leaf").transform(rows).select(
-        "id", "label", vector_to_array("leaf").alias("leaves"))
+def gbdt(train: DataFrame, test: DataFrame, setting: bo.Setting = CTR_TREES,
+         rates: tuple[float, ...] = (0.01, 0.02, 0.03, 0.04, 0.05), folds: int = 3) -> DataFrame:
+    """(id, label, pred): boosted trees with the learning rate that predicts most held-out rows right."""
+    rate = bo.search(train, setting, rates, folds)
+    return bo.scores(bo.fit(train, [replace(setting, rate=rate)])[0], test)
 
 
-def gbdt_leaf_features(train: DataFrame, rows: DataFrame, depth: int = 3, rounds: int = 5) -> DataFrame:
+def gbdt_leaf_features(train: DataFrame, rows: DataFrame, setting: bo.Setting = LEAF_TREES) -> DataFrame:
     """(id, label, tree, leaf): the one-hot position of each row in each boosted tree."""
-    model = _gbt(depth, rounds).fit(train)
-    return leaf_rows(model, rows).select("id", "label", F.posexplode("leaves").alias("tree", "leaf")).withColumn(
-        "leaf", F.col("leaf").cast("int"))
+    model = bo.fit(train, [setting])[0]
+    return bo.leaves(model, rows).select("id", "label", F.posexplode("leaves").alias("tree", "leaf"))
 
 
-def gbdt_lr(train: DataFrame, test: DataFrame, depth: int = 3, rounds: int = 5, strength: float = 0.05) -> DataFrame:
-    """Boosted-tree leaves, one-hot, into an L2 logistic regression."""
-    model = _gbt(depth, rounds).fit(train)
-    names = [f"t{k}" for k in range(rounds)]
+def gbdt_lr(train: DataFrame, test: DataFrame, setting: bo.Setting = LEAF_TREES, c: float = 0.05) -> DataFrame:
+    """(id, label, pred): boosted-tree leaves, one-hot, into a logistic regression whose summed loss counts ``c`` times
+    against half the squared weights."""
+    model = bo.fit(train, [setting])[0]
+    names = [f"t{k}" for k in range(len(model.trees))]
 
     def spread(rows: DataFrame) -> DataFrame:
-        leaves = leaf_rows(model, rows)
-        return leaves.select("id", "label", *[F.col("leaves")[k].alias(n) for k, n in enumerate(names)])
+        return bo.leaves(model, rows).select("id", "label", *[F.col("leaves")[k].alias(n) for k, n in enumerate(names)])
 
-    encode = OneHotEncoder(inputCols=names, outputCols=[f"{n}_v" for n in names], handleInvalid="keep")
+    encode = OneHotEncoder(inputCols=names, outputCols=[f"{n}_v" for n in names], handleInvalid="keep", dropLast=False)
     pack = VectorAssembler(inputCols=[f"{n}_v" for n in names], outputCol="features")
-    fit_rows = hold(spread(train))
-    stages = Pipeline(stages=[encode, pack, LogisticRegression(regParam=strength, maxIter=30)]).fit(fit_rows)
-    return probability(stages.transform(spread(test)))
+    rows = hold(spread(train))
+    linear = LogisticRegression(regParam=1 / (c * max(rows.count(), 1)), standardization=False, maxIter=100)
+    return probability(Pipeline(stages=[encode, pack, linear]).fit(rows).transform(spread(test)))
 
 
 def select_from_linear(train: DataFrame) -> DataFrame:

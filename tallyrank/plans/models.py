@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyrank.functions.hashing import hash_prefix
+from tallyrank.operators import boosting as bo
 from tallyrank.operators import factor as fa
 from tallyrank.operators import learning as ln
 from tallyrank.operators import sampling as sp
@@ -205,12 +209,22 @@ _model("fm_classifier", ln.fm_classifier)
 _model("logistic_wide", ln.logistic_wide)
 _model("gbdt", ln.gbdt)
 _model("gbdt_lr", ln.gbdt_lr)
-_model("gbdt_leaf_features", ln.gbdt_leaf_features)
+_model("gbdt_leaf_features", lambda train, test: ln.gbdt_leaf_features(train, train.unionByName(test)))
 _model("select_from_linear", lambda train, test: ln.select_from_linear(train))
 _model("select_from_forest", lambda train, test: ln.select_from_forest(train))
 _model("oof_predictions", lambda train, test: ln.oof_predictions(train, test)[0].select("id", "fold", "pred"))
 _model("oof_test_mean", lambda train, test: ln.oof_predictions(train, test)[1])
 
+@query("gbdt_loss", "SELECT CAST(range AS INTEGER) AS tree, TRUE AS falling FROM range(1, 31) WHERE EXISTS (SELECT 1 FROM orders)")
+def _(t):
+    """Whether the training loss falls with each of the first thirty trees of gbdt_lr."""
+    train, _test = _examples(t)
+    models = bo.fit(train, [replace(ln.LEAF_TREES, trees=30)])
+    rows = bo.progress(models, train).where(~F.col("held")).select("tree", (F.col("loss") / F.col("n")).alias("loss"))
+    before = F.lag("loss").over(Window.partitionBy(F.lit(0)).orderBy("tree"))  # 31 rows
+    return rows.withColumn("falling", F.col("loss") < before).where("tree > 0").select("tree", "falling")
+
+
 PAIR_FEATURES = ["price", "month"]
 
 

@@ -1,9 +1,11 @@
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from tallyrank.operators import factor as fa, learning as ln, metrics as m, text as tx
+from tallyrank.operators import boosting as bo, factor as fa, learning as ln, metrics as m, text as tx
 
 
 @pytest.fixture(scope="module")
@@ -18,7 +20,15 @@ def examples(spark):
     return whole.where("id < 200"), whole.where("id >= 200")
 
 
-@pytest.mark.parametrize("model", [ln.fm_classifier, ln.logistic_wide, ln.gbdt, ln.gbdt_lr])
+def small_gbdt(train, test):
+    return ln.gbdt(train, test, replace(ln.CTR_TREES, trees=5, depth=3), (0.1, 0.2))
+
+
+def small_gbdt_lr(train, test):
+    return ln.gbdt_lr(train, test, bo.Setting(trees=12, leaves=6, rate=0.2))
+
+
+@pytest.mark.parametrize("model", [ln.fm_classifier, ln.logistic_wide, small_gbdt, small_gbdt_lr])
 def test_classifiers_rank_a_separable_set(examples, model):
     train, test = examples
     scored = model(train, test)
@@ -29,8 +39,8 @@ def test_classifiers_rank_a_separable_set(examples, model):
 
 def test_leaf_features_list_every_tree(examples):
     train, test = examples
-    rows = ln.gbdt_leaf_features(train, test, 2, 3)
-    assert rows.count() == 300 and rows.where("leaf < 0 or tree > 2").count() == 0
+    rows = ln.gbdt_leaf_features(train, test, bo.Setting(trees=3, leaves=5))
+    assert rows.count() == 300 and rows.where("leaf < 0 or leaf > 4 or tree > 2").count() == 0
 
 
 def test_selection_keeps_the_informative_features(examples):
