@@ -10,7 +10,6 @@ from pyspark.ml.classification import (
     FMClassifier, LogisticRegression, RandomForestClassifier,
 )
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -205,17 +204,6 @@ def calinski_harabasz(labelled: DataFrame) -> DataFrame:
     return total.select(ch.alias("ch"))
 
 
-def kmeans_quality(rows: DataFrame, ks: tuple[int, ...], seed: int = 0) -> DataFrame:
-    """(k, silhouette, ch) for every k of the sweep."""
-    rows, out = hold(rows), []
-    for k in ks:
-        labelled = hold(kmeans_labels(rows, k, seed))
-        silhouette = ClusteringEvaluator(featuresCol="features", predictionCol="cluster").evaluate(labelled)
-        ch = calinski_harabasz(labelled.select("id", vector_to_array("features").alias("vec"), "cluster")).first()[0]
-        out.append((k, float(silhouette), float(ch)))
-    return rows.sparkSession.createDataFrame(out, "k INT, silhouette DOUBLE, ch DOUBLE")
-
-
 def cluster_draw(users: DataFrame, inter: DataFrame, n: int = 10) -> DataFrame:
     """(user_id, item_id, rank): ``n`` items from all items of the user's cluster, all if fewer.
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyrank.functions.hashing import hash_prefix
 from tallyrank.operators import boosting as bo
+from tallyrank.operators import clusters as cl
 from tallyrank.operators import factor as fa
 from tallyrank.operators import learning as ln
 from tallyrank.operators import sampling as sp
@@ -143,9 +144,29 @@ def _user_rows(t):
     return ln.assemble(users.withColumn("one", F.lit(0.0)), "c_custkey", None, ["one"], ["c_mktsegment", "zone"]).drop("label")
 
 
+KS = tuple(range(50, 200, 10))
+
+
+def _user_points(t):
+    users = t.customer.select("c_custkey", (F.col("c_acctbal") / 1e4).alias("balance"), "c_mktsegment",
+                              F.col("c_nationkey").cast("string").alias("zone"))
+    return ln.assemble(users, "c_custkey", None, ["balance"], ["c_mktsegment", "zone"]).drop("label")
+
+
 @query("kmeans_quality")
 def _(t):
-    return ln.kmeans_quality(_user_rows(t), (4, 8, 16))
+    return cl.kmeans_quality(_user_points(t), KS)
+
+
+@query("kmeans_progress", "SELECT CAST(k AS INTEGER) AS k, TRUE AS settled, TRUE AS falling FROM range(50, 200, 10) r(k)")
+def _(t):
+    """Whether each k's centres settled and no round raised the squared distances."""
+    sweep = cl.kmeans_sweep(_user_points(t), KS)
+    rows = []
+    for k in KS:
+        steps = sweep.within[k]
+        rows.append((k, sweep.settled[k], all(b <= a * (1 + 1e-9) + 1e-9 for a, b in zip(steps, steps[1:]))))
+    return t.spark.createDataFrame(rows, "k INT, settled BOOLEAN, falling BOOLEAN")
 
 
 @query("calinski_harabasz", """
