@@ -34,3 +34,8 @@ def hash_int(*parts) -> Column:
 def hash_unit(*parts) -> Column:
     """A DOUBLE in [0, 1) from the key digest."""
     return hash_int(*parts) / F.lit(float(HASH_RANGE))
+
+
+def hash_fine(*parts) -> Column:
+    """A DOUBLE in [0, 1) with all the bits a DOUBLE has: the first 13 hex digits of the key digest."""
+    return F.conv(F.substring(key_digest(*parts), 1, 13), 16, 10).cast("bigint") / F.lit(float(2**52))

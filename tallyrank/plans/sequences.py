@@ -156,8 +156,8 @@ def _(t):
     JOIN vocab v ON d.x >= v.hi - v.p AND d.x < v.hi""",
     counted="SELECT item_id, count(*) AS n FROM train GROUP BY 1",
     vocab="""SELECT item_id, pow(n, 0.75) AS p, sum(pow(n, 0.75)) OVER (ORDER BY n DESC, item_id) AS hi FROM counted""",
-    draws="""SELECT user_id, item_id, t, CAST('0x' || substr(md5(concat(user_id, '-', item_id, '-', t)), 1, 8) AS BIGINT)
-             / 4294967296.0 * (SELECT max(hi) FROM vocab) AS x FROM train, generate_series(0, 1) g(t)"""))
+    draws="""SELECT user_id, item_id, t, CAST('0x' || substr(md5(concat(user_id, '-', item_id, '-', t)), 1, 13) AS BIGINT)
+             / 4503599627370496.0 * (SELECT max(hi) FROM vocab) AS x FROM train, generate_series(0, 1) g(t)"""))
 def _(t):
     return sp.unigram_negatives(t.train, frequency_vocab(t.train, "item_id"), 2)
 
