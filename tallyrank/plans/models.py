@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyrank.functions.hashing import hash_prefix
+from tallyrank.operators import blockwise as bw
 from tallyrank.operators import boosting as bo
 from tallyrank.operators import clusters as cl
 from tallyrank.operators import factor as fa
@@ -73,13 +74,13 @@ def _(t):
     return fa.als_mllib(t.train)
 
 
-@query("mf_sgd", with_views("train", chains.both_sides(5, 10), **MF))
+@query("mf_gradient", with_views("train", chains.both_sides(5, 10), **MF))
 def _(t):
     left, right, _mean = fa.mf_gradient(_entries(t.train), 10, 5)
     return _both(left, right, 10)
 
 
-@query("mf_biased", with_views("train test", f"""
+@query("mf_gradient_biased", with_views("train test", f"""
     SELECT t.user_id AS row, t.item_id AS col, t.rating AS x, round(least(greatest(c + u.bias + v.bias + {DOT}, 1), 5), 6) AS pred
     FROM test t JOIN u5 u ON u.id = t.user_id JOIN v5 v ON v.id = t.item_id, center""", **BIASED))
 def _(t):
@@ -88,7 +89,7 @@ def _(t):
     return scored.withColumn("pred", F.round("pred", 6))
 
 
-@query("mf_recommend", with_views("train", chains.top_items(5, 10, 10, None, True, "query", "id"), **BIASED))
+@query("mf_gradient_recommend", with_views("train", chains.top_items(5, 10, 10, None, True, "query", "id"), **BIASED))
 def _(t):
     left, right, _mean = fa.mf_gradient(_entries(t.train), 10, 5, biased=True)
     users, items = fa.scoring_vectors(left, right, 10)
@@ -96,6 +97,47 @@ def _(t):
     return found.select("query", "id", "rank", F.round("score", 6).alias("score"))
 
 
+def _biased_blocks(t):
+    return bw.mf_blocks(_entries(t.train), 50, 30, 0.05, 0.15, mean=2.5, low=1.0, high=5.0)
+
+
+@query("mf_sgd")
+def _(t):
+    left, right, _mean = bw.mf_blocks(_entries(t.train), 10, 30, 0.01, 0.02, biased=False)
+    return _both(left, right, 10)
+
+
+@query("mf_biased")
+def _(t):
+    left, right, mean = _biased_blocks(t)
+    scored = fa.predict_entries(_entries(t.test), left, right, 50, mean, 1.0, 5.0)
+    return scored.withColumn("pred", F.round("pred", 6))
+
+
+@query("mf_recommend")
+def _(t):
+    left, right, _mean = _biased_blocks(t)
+    users, items = fa.scoring_vectors(left, right, 50)
+    found = vec.nearest(users.withColumnRenamed("user_id", "query"), items, 10)
+    return found.select("query", "id", "rank", F.round("score", 6).alias("score"))
+
+
+@query("mf_fit", with_views("train", """
+    SELECT count(*) AS n, TRUE AS below_spread, TRUE AS below_gradient FROM train"""))
+def _(t):
+    """Whether block updates fit their ratings better than the mean and than whole gradients in as many rounds."""
+    entries = hold(_entries(t.train))
+
+    def loss(left, right, mean):
+        scored = fa.predict_entries(entries, left, right, 10, mean, 1.0, 5.0)
+        return scored.agg(F.count("x").alias("n"), F.avg((F.col("x") - F.col("pred")) ** 2).alias("loss"), F.var_pop("x").alias("spread"))
+
+    blocks = loss(*bw.mf_blocks(entries, 10, 5, low=1.0, high=5.0))
+    whole = loss(*fa.mf_gradient(entries, 10, 5, 0.05, 0.15, biased=True)).select(F.col("loss").alias("whole"))
+    return blocks.join(whole).select(
+        "n", (F.col("loss") < F.col("spread")).alias("below_spread"), (F.col("loss") < F.col("whole")).alias("below_gradient"))
+
+
 @query("bpr_mf", with_views("inter", chains.both_sides(4, 10), **BPR))
 def _(t):
     triples = sp.bpr_triples(t.interactions, last_items(t.interactions), t.item_category)
