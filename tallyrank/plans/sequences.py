@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from tallyrank.functions.arrays import flag_indices, joined, multi_hot, pad_to
 from tallyrank.operators import sampling as sp
 from tallyrank.operators import sequences as sq
+from tallyrank.operators.relational import history_chunks
 from tallyrank.operators.splits import frequency_vocab, label_codes, last_items
 from tallyrank.plans.registry import REGISTRY, with_views
+from tallyrank.session import hold
 
 query = REGISTRY.query
 
@@ -132,6 +134,41 @@ def _(t):
     return sp.bpr_eval_runs(t.interactions, last_items(t.interactions), t.item_category)
 
 
+SAMPLED = {
+    "ordered": ORDERED, "idx": IDX, "pos": "SELECT user_id, item_id FROM ordered WHERE pos >= 1 AND pos < n - 1",
+    "tries": TRIES.format(src="pos", last=43), "draws": DRAWS, "kept": KEEP.format(src="draws", n=3),
+    "pointers": """
+    SELECT user_id, pos, item_id, 1 AS label, pos AS hist_len, rating, CASE WHEN pos = n - 1 THEN 'test' ELSE 'train' END AS split,
+           CAST(0 AS BIGINT) AS draw FROM ordered WHERE pos >= 1
+    UNION ALL SELECT user_id, o.pos, k.neg, 0, o.pos, NULL, 'train', CAST(k.rank AS BIGINT) FROM ordered o JOIN kept k USING (user_id, item_id)
+    WHERE o.pos >= 1""",
+}
+
+
+def _pointers(t):
+    samples = hold(sq.sample_pointers(t.interactions))
+    positives = samples.where("split = 'train'")
+    return sq.with_negatives(samples, sp.sample_negatives(positives, t.interactions, t.item_category, 3, distinct=False))
+
+
+@query("prefix_sample_pointers", with_views("inter", "SELECT * FROM pointers", **SAMPLED))
+def _(t):
+    """Samples with three negatives each, as pointers into the histories."""
+    return _pointers(t)
+
+
+@query("prefix_samples_labelled", with_views("inter", """
+    SELECT p.*, CAST(part AS BIGINT) AS part, array_to_string(list_reverse(h[CAST(greatest(0, p.pos - 50, (last - part) * 20) AS INT) + 1 :
+           CAST(least(p.pos, (last - part) * 20 + 20) AS INT)]), ',') AS hist
+    FROM pointers p JOIN (SELECT *, unnest(range(0, last - greatest(pos - 50, 0) // 20 + 1)) AS part FROM samples WHERE pos >= 1) s USING (user_id, pos)""",
+    **SAMPLED, samples="""SELECT user_id, pos, (pos - 1) // 20 AS last, list(item_id) OVER (PARTITION BY user_id ORDER BY pos
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS h FROM ordered"""))
+def _(t):
+    """The same samples with the newest 50 items read from history parts of 20."""
+    rows = sq.read_histories(_pointers(t), history_chunks(t.interactions, ["item_id"], 20), 20, 50)
+    return rows.withColumn("hist", joined("hist"))
+
+
 @query("log_negatives", """
     SELECT conv_id, turn, unnest(generate_series(0, 3)) AS pos, unnest(others[1:4]) AS neg FROM (
       SELECT conv_id, turn, list_filter(list_distinct_ordered, lambda w: w <> list_distinct_ordered[1]) AS others FROM (

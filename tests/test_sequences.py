@@ -35,6 +35,43 @@ def test_recent_histories_across_blocks(log, block):
         assert r.hist_item_id == mine[max(0, r.pos - 3):r.pos][::-1]
 
 
+@pytest.mark.parametrize("chunk,length", [(7, None), (7, 10), (3, 1), (100, 0)])
+def test_pointers_are_read_into_histories(log, chunk, length):
+    rows, df = log
+    samples = sq.sample_pointers(df)
+    assert samples.count() == len(rows) - len({r[0] for r in rows})
+    parts = {}
+    for r in sq.read_histories(samples, history_chunks(df, ["item_id"], chunk), chunk, length).collect():
+        assert len(r.hist) <= chunk
+        parts[(r.user_id, r.pos, r.part)] = r.hist
+    for r in samples.collect():
+        mine = _history(rows, r.user_id)
+        assert mine[r.pos] == r.item_id and r.split == ("test" if r.pos == len(mine) - 1 else "train")
+        want = mine[max(0, r.pos - length) if length is not None else 0:r.pos][::-1]
+        got, part = [], 0
+        while (r.user_id, r.pos, part) in parts:
+            got += parts[(r.user_id, r.pos, part)]
+            part += 1
+        assert got == want
+
+
+def test_negatives_point_to_the_same_history(spark, log):
+    rows, df = log
+    samples = sq.sample_pointers(df)
+    items = spark.createDataFrame([(i,) for i in range(80)], "item_id LONG")
+    negatives = sp.sample_negatives(samples.where("split = 'train'"), df, items, 2, distinct=False)
+    found = sq.with_negatives(samples, negatives).collect()
+    by_place = {}
+    for r in found:
+        by_place.setdefault((r.user_id, r.pos), []).append(r)
+    for (user, _pos), group in by_place.items():
+        kept = [r for r in group if r.label == 1]
+        assert len(kept) == 1 and kept[0].draw == 0 and {r.hist_len for r in group} == {kept[0].pos}
+        missed = [r for r in group if r.label == 0]
+        assert len(missed) == (2 if kept[0].split == "train" else 0) and all(r.rating is None for r in missed)
+        assert not {r.item_id for r in missed} & set(_history(rows, user))
+
+
 def test_history_chunks_are_whole(log):
     rows, df = log
     parts = sorted((r.user_id, r.part, r.item_id) for r in history_chunks(df, ["item_id"], 7).collect())
