@@ -8,6 +8,7 @@ from tallyrank.functions import features as fx
 from tallyrank.functions.arrays import joined, multi_hot, slice_by_lengths
 from tallyrank.operators import featureset as fs
 from tallyrank.operators import text as tx
+from tallyrank.operators import topics
 from tallyrank.operators import vectors as vec
 from tallyrank.operators.relational import ordered_items
 from tallyrank.operators.splits import label_codes
@@ -118,6 +119,15 @@ def _(t):
     return tx.lda_topics(t.documents, "doc_id", "text")
 
 
+@query("lda_bound", "SELECT CAST(range AS INTEGER) AS round, TRUE AS rising FROM range(2, 11) WHERE EXISTS (SELECT 1 FROM documents)")
+def _(t):
+    """Whether the bound of topic_lda rises with every round, up to rounding."""
+    bag = tx.bag_of_words(t.documents, "doc_id", "text")
+    _words, bounds = topics.lda(bag, "doc_id")
+    rows = [(i, b >= a - 1e-9 * abs(a)) for i, (a, b) in enumerate(zip(bounds, bounds[1:]), 2)]
+    return bag.sparkSession.createDataFrame(rows, "round INT, rising BOOLEAN")
+
+
 @query("topic_lsi")
 def _(t):
     return tx.lsi_topics(t.documents, "doc_id", "text")
