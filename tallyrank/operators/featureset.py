@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyrank.operators.ranking import position, top_k
+from tallyrank.operators.ranking import dense_index, position, top_k
+from tallyrank.session import hold
 
 MAX_ONE_HOT = 10000
 
@@ -26,10 +27,10 @@ def min_max(df: DataFrame, column: str, name: str) -> DataFrame:
 
 def one_hot(df: DataFrame, column: str, prefix: str) -> DataFrame:
     """One 0/1 column per value. Columns are made for at most MAX_ONE_HOT values; larger
-    fields belong in ``feature_dictionary``."""
+    fields belong in ``one_hot_places``."""
     found = df.select(column).distinct().orderBy(column).limit(MAX_ONE_HOT + 1).collect()
     if len(found) > MAX_ONE_HOT:
-        raise ValueError(f"{column} has more than {MAX_ONE_HOT} values; use feature_dictionary")
+        raise ValueError(f"{column} has more than {MAX_ONE_HOT} values; use one_hot_places")
     values = [row[0] for row in found if row[0] is not None]
     flags = [
         F.coalesce((F.col(column) == v).cast("int"), F.lit(0)).alias(f"{prefix}_{str(v).lower()}") for v in values
@@ -37,6 +38,16 @@ def one_hot(df: DataFrame, column: str, prefix: str) -> DataFrame:
     return df.select("*", *flags)
 
 
+def one_hot_places(df: DataFrame, column: str, name: str = "place") -> tuple[DataFrame, DataFrame]:
+    """((value, place) in value order, the rows with their place and the ``width``): one-hot rows of a field with any number of values.
+
+    A row's vector has ``width`` places and a 1 at ``place``; a null value has no place, so its vector is all zeros.
+    """
+    values = hold(dense_index(df.select(F.col(column).alias("value")).where(F.col("value").isNotNull()).distinct(), "value", name))
+    named = df.join(values.withColumnRenamed("value", column), column, "left")
+    return values, named.withColumn("width", F.coalesce(values.agg(F.count(F.lit(1))).scalar(), F.lit(0)))
+
+
 def long_fields(df: DataFrame, key: str, numeric: list[str], categorical: list[str]) -> DataFrame:
     """(key, field, field_id, raw, value): one row per field, in declared field order.
 

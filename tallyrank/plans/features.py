@@ -75,6 +75,13 @@ def _(t):
     return fs.one_hot(t.customer.select("c_custkey", "c_mktsegment"), "c_mktsegment", "seg").drop("c_mktsegment")
 
 
+@query("one_hot_places", """
+    SELECT o_orderkey, o_custkey, dense_rank() OVER (ORDER BY o_custkey) - 1 AS place, (SELECT count(DISTINCT o_custkey) FROM orders) AS width
+    FROM orders""")
+def _(t):
+    return fs.one_hot_places(t.orders.select("o_orderkey", "o_custkey"), "o_custkey")[1]
+
+
 @query("clean_title", r"""
     SELECT doc_id, md5(trim(regexp_replace(text, '[!,;:?"''、，；()]+', ' ', 'g'))) AS digest FROM documents""")
 def _(t):

@@ -71,6 +71,14 @@ def test_chi2_counts_a_missing_class(spark):
     assert got[0] == pytest.approx(9.0) and got[1] == pytest.approx(0.0)
 
 
+def test_one_hot_places_of_a_wide_field(spark):
+    wide = spark.range(fs.MAX_ONE_HOT + 5).select((F.col("id") * 3).alias("x")).unionByName(spark.createDataFrame([(None,), (3,)], "x LONG"))
+    values, rows = fs.one_hot_places(wide, "x")
+    assert values.count() == fs.MAX_ONE_HOT + 5 and rows.count() == fs.MAX_ONE_HOT + 7
+    assert rows.where("width <> 10005 OR (x IS NULL) <> (place IS NULL) OR place * 3 <> x").count() == 0
+    assert fs.one_hot_places(wide.where("x < 0"), "x")[1].count() == 0
+
+
 def test_one_hot_refuses_wide_fields(spark):
     with pytest.raises(ValueError):
         fs.one_hot(spark.range(fs.MAX_ONE_HOT + 1), "id", "x")
