@@ -144,6 +144,11 @@ def fit(x: np.ndarray, bounds: np.ndarray, y: np.ndarray, rounds: int = ROUNDS)
     return model
 
 
+def spaced(n: int, most: int) -> np.ndarray:
+    """At most ``most`` places of ``n``, evenly spaced."""
+    return np.arange(n) if n <= most else np.arange(most) * n // most
+
+
 def train_quality(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
     sample_rows: int = SAMPLE_ROWS, sample_passages: int = SAMPLE_PASSAGES,
@@ -151,8 +156,9 @@ def train_quality(
     """Fits on at most ``sample_rows`` labelled documents whose crc32 of the id, modulo 3, is not 1.
 
     The sample is taken by a hash of the id, so its size bounds what is broadcast, and the features of
-    its passages what reaches the driver. Null labels are left out; without labels of both
-    classes every text gets the same score.
+    at most ``sample_passages`` passages of each, evenly spaced in longer texts, what reaches the driver. Rows that
+    share an id give one example for each label, that of the least features. Null labels are left out; without
+    labels of both classes, as in empty tables, every text gets the same score.
     """
     own, mark = labels["doc_id"], labels[label]
     chosen = (
@@ -165,12 +171,10 @@ def train_quality(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in by_bytes(batches):
             x, bounds = passage_features(texts_of(part))
-            use = np.flatnonzero(np.diff(bounds) <= sample_passages)
-            flat = [x[bounds[k] : bounds[k + 1]].tobytes() for k in use]
-            taken = part.take(pa.array(use))
-            yield pa.RecordBatch.from_arrays([taken.column("doc_id").cast(pa.string()), taken.column("y"), pa.array(flat, pa.binary())], ["doc_id", "y", "x"])
+            flat = [x[a + spaced(z - a, sample_passages)].tobytes() for a, z in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.string()), part.column("y"), pa.array(flat, pa.binary())], ["doc_id", "y", "x"])
 
-    found = rows.mapInArrow(run, "doc_id string, y int, x binary").collect()
+    found = rows.mapInArrow(run, "doc_id string, y int, x binary").groupBy("doc_id", "y").agg(F.min("x").alias("x")).collect()
     found.sort(key=lambda r: (r.doc_id, r.y, r.x))
     bags = [np.frombuffer(r.x, np.float32).reshape(-1, N_FEATURES) for r in found]
     x = np.concatenate(bags) if bags else np.zeros((0, N_FEATURES), np.float32)

@@ -87,3 +87,24 @@ def test_awkward_rows(spark, awkward, empty):
             toxic = toxicity.train_toxicity(docs, own)
             assert toxicity.score_toxicity(awkward, toxic).where("score between 0 and 1").count() == 7
             assert toxicity.score_toxicity(empty, toxic).count() == 0
+
+
+def test_repeated_ids_give_one_example(spark, monkeypatch):
+    docs = spark.createDataFrame([(k % 4, f"some words of text number {k} " * 5) for k in range(200)], "doc_id LONG, text STRING")
+    labels = spark.createDataFrame([(k, k % 2, k % 2) for k in range(4)], "doc_id LONG, quality INT, toxic INT")
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda x, bounds, y: seen.append(len(y)))
+    quality.train_quality(docs, labels, sample_rows=3)
+    assert seen[0] <= 3
+    model = toxicity.train_toxicity(docs, labels, sample_rows=3)
+    assert abs(float(model.bias)) < 2
+
+
+def test_long_texts_are_fitted_on_spaced_passages(spark, monkeypatch):
+    assert quality.spaced(3, 5).tolist() == [0, 1, 2] and quality.spaced(10, 5).tolist() == [0, 2, 4, 6, 8]
+    docs = spark.createDataFrame([(k, "word " * (64 * 20 if k % 2 else 30)) for k in range(12)], "doc_id LONG, text STRING")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(12)], "doc_id LONG, quality INT")
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda x, bounds, y: seen.append((np.diff(bounds).max(), set(y))))
+    quality.train_quality(docs, labels, sample_passages=7)
+    assert seen == [(7, {0.0, 1.0})]
