@@ -115,8 +115,8 @@ def train_toxicity(
 
     At most ``sample_rows`` of them, taken by a hash of the id. The weights are those of a logistic
     regression on the features scaled by their log-count ratios; only the used features of the
-    sample reach the driver. Null labels are left out; without both classes every text gets the
-    same score.
+    sample reach the driver, of rows that share an id and label those of one. Null labels are left out; without
+    both classes, as in empty tables, every text gets the same score.
     """
     labelled = _sampled(docs, labels, doc_id, text, label, sample_rows)
     ratio, clearness = log_count_ratios(labelled)
@@ -142,7 +142,8 @@ def train_toxicity(
                 part.column("doc_id").cast(pa.string()), part.column("y"), pa.array([a.astype(np.int32).tobytes() for a, _ in found], pa.binary()),
                 pa.array([b.astype(np.int32).tobytes() for _, b in found], pa.binary())], ["doc_id", "y", "ids", "counts"])
 
-    found = labelled.mapInArrow(features, "doc_id string, y int, ids binary, counts binary").collect()
+    rows = labelled.mapInArrow(features, "doc_id string, y int, ids binary, counts binary")
+    found = rows.groupBy("doc_id", "y").agg(F.min(F.struct("ids", "counts")).alias("f")).select("doc_id", "y", "f.*").collect()
     found.sort(key=lambda r: (r.doc_id, r.y, r.ids))
     y = np.array([r.y for r in found], np.float64)
     share = (y.sum() + 1) / (len(y) + 2)
