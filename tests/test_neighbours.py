@@ -124,3 +124,43 @@ def test_simrank_by_dense_rounds(spark, rounds):
     for r in dst.collect():
         got[ads.index(r.i), ads.index(r.j)] = r.s
     assert np.allclose(got, sa)
+
+
+@pytest.mark.parametrize("heavy,few", [(1 << 18, 4096), (1 << 18, 0), (40, 4096), (40, 0)])
+def test_votes_by_brute_force_on_every_path(spark, monkeypatch, heavy, few):
+    monkeypatch.setattr(nb, "HEAVY_VOTES", heavy)
+    monkeypatch.setattr(nb, "FEW_LISTS", few)
+    rng = np.random.default_rng(3)
+    rows = {(int(u), int(i)): float(rng.integers(1, 6)) for u, i in zip(rng.integers(0, 25, 300), rng.integers(0, 30, 300))}
+    rows.update({(99, i): 2.0 for i in range(0, 30, 2)})
+    train = spark.createDataFrame([(u, i, x) for (u, i), x in rows.items()] + [(None, 3, 1.0), (5, None, 2.0)], "user_id LONG, item_id LONG, rating DOUBLE")
+    for side in (0, 1):
+        pairs = {(a, b): float(rng.integers(1, 50)) for a, b in combinations(sorted({key[side] for key in rows}), 2) if rng.random() < 0.5}
+        near = defaultdict(list)
+        for (a, b), w in pairs.items():
+            near[a].append((-w, b))
+            near[b].append((-w, a))
+        score = defaultdict(lambda: defaultdict(float))
+        everything = [*rows.items(), ((None, 3), 1.0), ((5, None), 2.0)]
+        for i, found in near.items():
+            for w, j in sorted(found)[:4]:
+                for (u, item), x in everything:
+                    if side == 1 and item == i:
+                        score[u][j] -= w * x
+                    if side == 0 and u == j:
+                        score[i][item] -= w * x
+        want = set()
+        for u, found in score.items():
+            unseen = [(-s, item) for item, s in found.items() if (u, item) not in rows]
+            want |= {(u, item, r, -s) for r, (s, item) in enumerate(sorted(unseen, key=lambda v: (v[0], -1 if v[1] is None else v[1]))[:5], 1)}
+        frame = spark.createDataFrame([(a, b, w) for (a, b), w in pairs.items()], "a LONG, b LONG, w DOUBLE")
+        recs = (nb.item_cf_recommend if side else nb.user_cf_recommend)(train, frame, 4, 5)
+        assert {(r.user_id, r.item_id, r["rank"], r.score) for r in recs.collect()} == want
+
+
+def test_votes_are_shuffled_once(spark):
+    rows = [(u, (u * 7 + i * 5) % 60, 1.0) for u in range(40) for i in range(12)]
+    train = spark.createDataFrame(rows, "user_id LONG, item_id LONG, rating DOUBLE")
+    pairs = spark.createDataFrame([(a, b, 1.0) for a in range(60) for b in range(a + 1, 60)], "a LONG, b LONG, w DOUBLE")
+    plan = nb.item_cf_recommend(train, pairs)._jdf.queryExecution().executedPlan().toString()
+    assert plan[: plan.index("InMemoryTableScan")].count("Exchange hashpartitioning") == 1
