@@ -236,3 +236,51 @@ def test_subspace_svd_settles_on_a_flat_spectrum(spark):
     assert values == pytest.approx(list(want), rel=1e-3)
     v = _matrix(found, 40, 5)
     assert np.abs(dense.T @ dense @ v - v * np.array(values) ** 2).max() < 1e-2
+
+
+@pytest.mark.parametrize("metric", ["ip", "l2"])
+def test_tiles_of_the_base_keep_the_best_and_leave_out_banned_pairs(monkeypatch, metric):
+    monkeypatch.setattr(vec, "TILE_ROWS", 16)
+    rng = np.random.default_rng(8)
+    q, b = rng.integers(-3, 4, (20, 3)).astype(float), rng.integers(-3, 4, (90, 3)).astype(float)
+    ids = rng.permutation(90)
+    take = np.arange(20) % 7
+    banned = rng.integers(0, 20, 400), rng.integers(0, 90, 400)
+    score = q @ b.T if metric == "ip" else -((q[:, None] - b[None]) ** 2).sum(2)
+    for out in (None, banned):
+        left = np.ones((20, 90), bool)
+        if out is not None:
+            left[out] = False
+        want = []
+        for row in range(20):
+            best = sorted((-score[row, c], ids[c], c) for c in np.flatnonzero(left[row]))[: take[row]]
+            want += [(row, c, -s) for s, _, c in best]
+        got = zip(*vec._best_of_tile(q, b, ids, take, metric, out), strict=True)
+        assert [(r, c, pytest.approx(s)) for r, c, s in want] == list(got)
+
+
+def test_a_block_hands_on_unseen_items_only(spark):
+    rng = np.random.default_rng(9)
+    table = spark.createDataFrame([(i, [float(x) for x in rng.normal(0, 1, 4)]) for i in range(60)], "id LONG, vec ARRAY<DOUBLE>")
+    users = table.limit(12).withColumnRenamed("id", "query").withColumn("k", F.lit(3))
+    seen = F.when(F.col("query") > 0, F.sequence(F.lit(0).cast("long"), F.col("query") * 4))
+    found = vec._scan(users.withColumn("seen", seen), table, "ip", 15).collect()
+    assert len(found) <= 12 * 3 * 4 and all(r.id > 4 * r["query"] or r["query"] == 0 for r in found)
+
+
+@pytest.mark.parametrize("most,few", [(1 << 18, 1 << 19), (3, 1 << 19), (3, 0)])
+def test_pooled_on_every_path(spark, monkeypatch, most, few):
+    monkeypatch.setattr(vec, "POOL_ROWS", most)
+    monkeypatch.setattr(vec, "FEW_VALUES", few)
+    table = spark.createDataFrame([(i, [float(i), 2.0 * i]) for i in range(9)], "id LONG, vec ARRAY<DOUBLE>")
+    members = spark.createDataFrame([(k, i) for k in range(4) for i in range(k, 12)] + [(None, 2), (7, 99), (7, None)], "key LONG, id LONG")
+    got = {r.key: (r.n, r.vec) for r in vec.pooled(members, table).collect()}
+    want = {k: (9 - k, [np.mean(range(k, 9)), 2.0 * np.mean(range(k, 9))]) for k in range(4)} | {None: (1, [2.0, 4.0]), 7: (0, [0.0, 0.0])}
+    assert got == want
+
+
+def test_pooled_vectors_are_not_shuffled(spark):
+    table = spark.createDataFrame([(i, [float(i)] * 8) for i in range(9)], "id LONG, vec ARRAY<DOUBLE>")
+    members = spark.createDataFrame([(k, i) for k in range(4) for i in range(9)], "key LONG, id LONG")
+    plan = vec.pooled(members, table)._jdf.queryExecution().executedPlan().toString()
+    assert plan[: plan.index("InMemoryTableScan")].count("Exchange hashpartitioning") == 1
