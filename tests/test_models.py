@@ -284,3 +284,39 @@ def test_pooled_vectors_are_not_shuffled(spark):
     members = spark.createDataFrame([(k, i) for k in range(4) for i in range(9)], "key LONG, id LONG")
     plan = vec.pooled(members, table)._jdf.queryExecution().executedPlan().toString()
     assert plan[: plan.index("InMemoryTableScan")].count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("biased", [False, True])
+def test_whole_gradients_by_cells(spark, monkeypatch, biased):
+    held = []
+    monkeypatch.setattr(fa, "hold", lambda df: held.append(df.columns) or df.persist())
+    monkeypatch.setattr(fa, "STEP_ENTRIES", 7)
+    rng = np.random.default_rng(6)
+    rows = sorted({(int(a), int(c)) for a, c in zip(rng.integers(0, 12, 90), rng.integers(0, 9, 90))})
+    x = rng.integers(1, 6, len(rows)).astype(float)
+    data = [(f"u{a}", c, None if n % 17 == 0 else float(v)) for n, ((a, c), v) in enumerate(zip(rows, x, strict=True))]
+    entries = spark.createDataFrame(data + [(None, 3, 1.0), ("u1", None, 2.0)], "row STRING, col LONG, x DOUBLE")
+    left, right, mean = fa.mf_gradient(entries, 3, 4, 0.05, 0.1, biased, cell_entries=10)
+    assert all(len(columns) <= 5 for columns in held)  # no entry is kept with its vectors
+    scale = np.sqrt(3) / 10
+    begun = {}
+    for side, tag, kind in (("row", "u", "STRING"), ("col", "v", "LONG")):
+        ids = sorted({r[side == "col"] for r in data})
+        begun[side] = {r.id: np.array([r.f0, r.f1, r.f2, 0.0]) for r in fa.start_factors(spark.createDataFrame([(i,) for i in ids], f"id {kind}"), 3, scale, tag).collect()}
+    u, v = begun["row"], begun["col"]
+    for _ in range(4):
+        moved = []
+        for own, theirs, at in ((u, v, 0), (v, u, 1)):
+            new = {}
+            for key, f in own.items():
+                mine = [r for r in data if r[at] == key]
+                known = [r for r in mine if r[2] is not None]
+                miss = [(r[2] - (mean + f[3] + theirs[r[1 - at]][3] + f[:3] @ theirs[r[1 - at]][:3]), theirs[r[1 - at]]) for r in known]
+                rate = 0.05 / (1 + 0.05 * len(mine))
+                g = np.append(sum(e * t[:3] for e, t in miss), sum(e for e, _ in miss)) - 0.1 * len(mine) * f
+                new[key] = f + rate * g * np.array([1, 1, 1, biased])
+            moved.append(new)
+        u, v = moved
+    for table, want in ((left, u), (right, v)):
+        got = {r.id: [r.f0, r.f1, r.f2, r.bias] for r in table.collect()}
+        assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i]) for i in want)
