@@ -133,7 +133,7 @@ def test_votes_by_brute_force_on_every_path(spark, monkeypatch, heavy, few):
     rng = np.random.default_rng(3)
     rows = {(int(u), int(i)): float(rng.integers(1, 6)) for u, i in zip(rng.integers(0, 25, 300), rng.integers(0, 30, 300))}
     rows.update({(99, i): 2.0 for i in range(0, 30, 2)})
-    train = spark.createDataFrame([(u, i, x) for (u, i), x in rows.items()] + [(None, 3, 1.0), (5, None, 2.0)], "user_id LONG, item_id LONG, rating DOUBLE")
+    train = spark.createDataFrame([(u, i, x) for (u, i), x in rows.items()] + [(None, 3, 1.0)] + [(u, None, 2.0) for u in range(8)], "user_id LONG, item_id LONG, rating DOUBLE")
     for side in (0, 1):
         pairs = {(a, b): float(rng.integers(1, 50)) for a, b in combinations(sorted({key[side] for key in rows}), 2) if rng.random() < 0.5}
         near = defaultdict(list)
@@ -141,7 +141,7 @@ def test_votes_by_brute_force_on_every_path(spark, monkeypatch, heavy, few):
             near[a].append((-w, b))
             near[b].append((-w, a))
         score = defaultdict(lambda: defaultdict(float))
-        everything = [*rows.items(), ((None, 3), 1.0), ((5, None), 2.0)]
+        everything = [*rows.items(), ((None, 3), 1.0), *(((u, None), 2.0) for u in range(8))]
         for i, found in near.items():
             for w, j in sorted(found)[:4]:
                 for (u, item), x in everything:
