@@ -1,4 +1,5 @@
 import random
+from hashlib import md5
 
 import pytest
 from pyspark.sql import functions as F
@@ -119,6 +120,42 @@ def test_negatives_are_unseen_distinct_and_complete(spark, catalogue):
         assert ranks == list(range(1, len(negs) + 1))
 
 
+@pytest.mark.parametrize("distinct", [True, False])
+def test_negatives_are_the_first_good_draws_at_every_cell_size(spark, distinct):
+    random.seed(8)
+    rows = [(u, i) for u in range(4) for i in random.sample(range(40), 30 if u == 0 else 6)]
+    known, catalogue = set(rows), 40
+
+    def draws(u, i, last):
+        return [int(md5(f"{u}-{i}-{t}".encode()).hexdigest()[:8], 16) % catalogue for t in range(last)]
+
+    want = {}
+    for u, i in rows:
+        good = [p for p in draws(u, i, 4 * 3 + 32) if (u, p) not in known]
+        want[u, i] = (list(dict.fromkeys(good)) if distinct else good)[:3]
+    assert all(len(x) == 3 for x in want.values())
+    seen = spark.createDataFrame(rows, "user_id LONG, item_id LONG")
+    items = spark.range(catalogue).withColumnRenamed("id", "item_id")
+    for cell_rows in (4, 1 << 17):  # user 0 is dealt to copies, or all are one cell
+        got = {}
+        for r in sp.sample_negatives(seen, seen, items, 3, distinct, cell_rows).orderBy("rank").collect():
+            got.setdefault((r.user_id, r.item_id), []).append(r.neg)
+        assert got == want
+
+
+def test_newest_history_sends_each_sample_once(spark):
+    df = spark.createDataFrame([(1, i, 1.0, i) for i in range(90)], "user_id LONG, item_id LONG, rating DOUBLE, ts LONG")
+    pointers, chunks = sq.sample_pointers(df), history_chunks(df, ["item_id"], 7)
+    rows = sq.read_histories(pointers, chunks, 7, 12)
+    got = {}
+    for r in rows.orderBy("part").collect():
+        got.setdefault(r.pos, []).extend(r.hist)
+    assert got == {p: list(range(p - 1, max(p - 13, -1), -1)) for p in range(1, 90)}
+    # parts are copied and samples are not: the only exploded list is one of the parts
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1 and "_newest" in plan[plan.index("Generate explode"):].split("\n")[0]
+
+
 def test_unigram_draws_follow_the_power_law(spark):
     counts = {0: 810, 1: 160, 2: 16}
     rows = [(k, item) for item, n in counts.items() for k in range(n)]
