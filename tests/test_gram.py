@@ -82,3 +82,19 @@ def test_chunked_groups_match_the_join(spark):
     whole = pair_sums(entries, "g", "m", "x", heavy=1000).orderBy("a", "b").collect()
     assert pair_sums(entries, "g", "m", "x", heavy=4, block=1).orderBy("a", "b").collect() == whole
     assert pair_sums(entries, "g", "m", "x", heavy=8, block=1000).orderBy("a", "b").collect() == whole
+
+
+@pytest.mark.parametrize("heavy", [1000, 12])
+def test_sparse_pairs_are_summed_in_tasks_of_bounded_size(spark, heavy):
+    rng = np.random.default_rng(5)
+    rows = {(g, m): float(1 + (g + m) % 5) for g in range(40) for m in [0, *rng.choice(np.arange(1, 900), 5 + g // 2, replace=False).tolist()]}
+    df = spark.createDataFrame([(g, m, x) for (g, m), x in rows.items()], "g LONG, m LONG, x DOUBLE")
+    # member 0 is in every group, so that it is dealt to copies by partner
+    got = pair_sums(df, "g", "m", "x", heavy, 64, 8, task_pairs=50)
+    assert got.rdd.getNumPartitions() >= sum(k * (k - 1) // 2 for k in (6 + g // 2 for g in range(40)) if k <= heavy) // 50
+    want = _brute(rows)
+    found = {(r.a, r.b): (r.value, r.n) for r in got.collect()}
+    assert found.keys() == want.keys()
+    assert all(value == pytest.approx(want[key][0]) and n == want[key][1] for key, (value, n) in found.items())
+    counted = {(r.a, r.b): (r.value, r.n) for r in pair_sums(df, "g", "m", heavy=heavy, block=64, chunk=8, task_pairs=50).collect()}
+    assert counted == {key: (float(n), n) for key, (_, n) in want.items()}
