@@ -120,6 +120,23 @@ def test_negatives_are_unseen_distinct_and_complete(spark, catalogue):
         assert ranks == list(range(1, len(negs) + 1))
 
 
+def test_recent_histories_without_windows_over_rows(spark):
+    rows = [(u, i, float(i), i, None if i % 4 == 0 else f"c{i}") for u in range(3) for i in range(40 if u else 1)]
+    df = spark.createDataFrame(rows, "user_id LONG, item_id LONG, rating DOUBLE, ts LONG, category STRING")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)  # histories go on from batch to batch
+    try:
+        got = sq.recent_histories(df, ["item_id", "category"], 6, 16)
+        # a frame of rows before each row makes every row cost its whole history
+        assert "rowframe" not in got._jdf.queryExecution().optimizedPlan().toString().lower().replace("rowframe, unboundedpreceding", "")
+        found = got.collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted((r.user_id, r.pos) for r in found) == sorted((u, i) for u, i, *_ in rows)
+    for r in found:
+        before = range(r.pos - 1, max(r.pos - 7, -1), -1)
+        assert r.hist_item_id == list(before) and r.hist_category == [f"c{i}" for i in before if i % 4]
+
+
 @pytest.mark.parametrize("distinct", [True, False])
 def test_negatives_are_the_first_good_draws_at_every_cell_size(spark, distinct):
     random.seed(8)
