@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -25,6 +26,16 @@ SAMPLE_ROWS = 16_384
 ROUNDS, RATE, DECAY = 200, 0.05, 1e-3
 CACHE_WORDS = 1_000_000
 THRESHOLD = 0.7
+#: A worker's words and their shares, of the model it used last.
+_kept: dict[str, dict[bytes, float]] = {}
+
+
+def kept_words(model: str) -> dict[bytes, float]:
+    """What this worker knows of a model's words from the tasks before."""
+    if model not in _kept:
+        _kept.clear()
+        _kept[model] = {}
+    return _kept[model]
 
 
 def word_features(word: bytes) -> set[int]:
@@ -52,7 +63,7 @@ class ToxicModel:
             missing = set().union(*sets)
         get = self.weight.get
         for w in missing:
-            self.words[w] = sum(get(f, 0.0) for f in word_features(w))
+            self.words[w] = sum(filter(None, map(get, word_features(w))))
         margin = np.array([sum(map(self.words.__getitem__, sorted(s))) for s in sets], np.float64) + self.bias
         return 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
 
@@ -170,9 +181,10 @@ def train_toxicity(
 def score_toxicity(docs: DataFrame, model: ToxicModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and score (0 to 1) of every whole text, a null one as empty. Rows pass one by one, so null
     ids and repeated rows get scores like any; other columns are not read."""
-    kind = docs.schema[doc_id].dataType.simpleString()
+    kind, name = docs.schema[doc_id].dataType.simpleString(), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model.words = kept_words(name)
         for part in by_bytes(batches):
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(model.score(texts_of(part)))], ["doc_id", "score"])
 

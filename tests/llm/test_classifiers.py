@@ -108,3 +108,13 @@ def test_long_texts_are_fitted_on_spaced_passages(spark, monkeypatch):
     monkeypatch.setattr(quality, "fit", lambda x, bounds, y: seen.append((np.diff(bounds).max(), set(y))))
     quality.train_quality(docs, labels, sample_passages=7)
     assert seen == [(7, {0.0, 1.0})]
+
+
+def test_a_worker_keeps_the_words_of_one_model():
+    from tallyrank.llm import toxicity as module
+
+    first = module.kept_words("first")
+    first[b"word"] = 1.0
+    assert module.kept_words("first") is first
+    assert module.kept_words("second") == {}
+    assert module.kept_words("first") == {}
