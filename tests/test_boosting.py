@@ -132,3 +132,26 @@ def test_odd_tables(spark):
     assert [t.leaf.max() for t in alike.trees] == [0, 0]
     both = bo.fit(some, [setting])[0]
     assert {r.id: r.pred > 1 / 3 for r in bo.scores(both, some.where("id < 3")).collect()} == {1: True, 2: False}
+
+
+def test_rows_of_one_partition_are_spread_and_a_tree_takes_a_pass_a_level(spark, points, monkeypatch):
+    x, y = points
+    rows = table(spark, x, y).coalesce(1)
+    monkeypatch.setattr(bo, "BLOCK_ROWS", 300)
+    assert bo.dealt(rows, 900).rdd.getNumPartitions() == 3
+    monkeypatch.setattr(bo, "TASK_ROWS", 50)
+    assert bo.dealt(rows, 900).rdd.getNumPartitions() == 18
+    calls = {"grown": 0, "best": 0}
+
+    def counted(name, fn):
+        def call(*args):
+            calls[name] += 1
+            return fn(*args)
+
+        return call
+
+    monkeypatch.setattr(bo, "_grown", counted("grown", bo._grown))
+    monkeypatch.setattr(bo, "_best_splits", counted("best", bo._best_splits))
+    monkeypatch.setattr(bo, "HERE", 350 * 28)  # leaves of more than 350 rows are large
+    bo.fit(rows, [bo.Setting(trees=2, leaves=12, rate=0.2, rows=1.0, columns=1.0)])
+    assert calls["grown"] == 2 and calls["best"] >= 2
