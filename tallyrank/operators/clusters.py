@@ -1,8 +1,9 @@
 """k-means for a whole sweep of k in the same passes, and its quality figures.
 
-Rows are packed into blocks once. A round multiplies each block with the centres of every k still moving and
-adds up counts, sums and squared lengths per (k, cluster); the driver holds centres only, whose number is a
-parameter. Quality follows from the same sums, without distances between rows.
+Rows are sorted and packed into blocks once, so that the rows of a tile, a thousand after each other, lie close.
+A round leaves out, for every tile and k still moving, the centres that no row of the tile's box can be nearest to,
+multiplies the tile with the others and adds up counts, sums and squared lengths per (k, cluster); the driver holds
+centres only, whose number is a parameter. Quality follows from the same sums, without distances between rows.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 
 from tallyrank.session import hold, written
 
+TILE = 1024  # rows whose box is held against the centres at once
+TASK_ROWS, LEAST_ROWS = 1 << 19, 1 << 13  # rows of a task at most, and from which another is worth its cost
 SUMS = "k INT, cluster INT, n DOUBLE, q DOUBLE, within DOUBLE, s BINARY"
 
 
@@ -30,12 +33,18 @@ class Sweep(NamedTuple):
 
 
 def _pack(rows: DataFrame) -> DataFrame:
+    """Blocks of rows in the order of their vectors, over as many tasks as the rows ask for."""
     def pack(frames):
         for frame in frames:
             x = np.array(frame["x"].tolist(), np.float64).reshape(len(frame), -1)
             yield pd.DataFrame({"n": [len(x)], "x": [x.tobytes()]})
 
-    return rows.select(vector_to_array("features").alias("x")).mapInPandas(pack, "n INT, x BINARY")
+    n, most = rows.count(), rows.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(most, -(-n // LEAST_ROWS)), -(-n // TASK_ROWS))
+    # equal vectors are told apart by their ids, so that many of them do not meet in one task
+    vectors = rows.select(vector_to_array("features").alias("x"), F.xxhash64("id").alias("_h")).withColumn("_x", F.reverse("x"))
+    placed = vectors.repartitionByRange(tasks, "_x", "_h").sortWithinPartitions("_x", "_h")
+    return placed.select("x").mapInPandas(pack, "n INT, x BINARY")
 
 
 def _blocks(frames):
@@ -45,11 +54,48 @@ def _blocks(frames):
                 yield np.frombuffer(x, np.float64).reshape(n, -1)
 
 
-def _nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Per row the number of the nearest centre, ties to the first, and the squared distance."""
-    apart = (centres * centres).sum(1) - 2 * (x @ centres.T)
-    label = apart.argmin(1)
-    return label, np.maximum(apart[np.arange(len(x)), label] + (x * x).sum(1), 0)
+class _Centres:
+    """The centres of several k, one after another; ``k`` tells whose each is and ``own`` its number there."""
+
+    def __init__(self, at: np.ndarray, k: np.ndarray, own: np.ndarray):
+        self.at, self.k, self.own, self.square = at, k, own, (at * at).sum(1)
+        self.starts = np.flatnonzero(np.diff(k, prepend=-1))
+        self.most_square = self.square.max(initial=0)
+
+    @classmethod
+    def of(cls, centres: list[np.ndarray]) -> _Centres:
+        sizes = [len(c) for c in centres]
+        return cls(np.concatenate(centres), np.repeat(np.arange(len(sizes)), sizes), np.concatenate([np.arange(n) for n in sizes]))
+
+    def near(self, rows: np.ndarray) -> _Centres:
+        """Those of each k that may be nearest to one of the rows, in order: their least distance to the box around the
+        rows does not pass, by more than rounding can, the least of the largest distances."""
+        low, high = rows.min(0), rows.max(0)
+        below, above = low - self.at, self.at - high
+        least = (np.maximum(np.maximum(below, above), 0) ** 2).sum(1)
+        most = np.minimum.reduceat((np.minimum(below, above) - (high - low)) ** 2 @ np.ones(rows.shape[1]), self.starts)
+        size = (np.maximum(np.abs(low), np.abs(high)) ** 2).sum() + self.most_square
+        keep = ~(least > most[self.group()] + 1e-9 * size)  # also where a number is none
+        return _Centres(self.at[keep], self.k[keep], self.own[keep])
+
+    def group(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.starts)), np.diff(np.append(self.starts, len(self.k))))
+
+
+def _nearest(x: np.ndarray, centres: list[np.ndarray]):
+    """(rows of a tile, their squared lengths, a list with, per k, the number of the nearest centre of each row, ties to the
+    first, and the squared distance), tile by tile."""
+    here = _Centres.of(centres).near(x)
+    for a in range(0, len(x), TILE):
+        tile = x[a : a + TILE]
+        square, each, near = (tile * tile).sum(1), np.arange(len(tile)), here.near(tile)
+        away = -2 * (tile @ near.at.T)
+        away += near.square
+        found = []
+        for start, end in zip(near.starts, np.append(near.starts[1:], len(near.k))):
+            at = away[:, start:end].argmin(1) if end - start > 1 else np.zeros(len(tile), np.int64)
+            found.append((near.own[start + at], np.maximum(away[each, start + at] + square, 0)))
+        yield tile, square, found
 
 
 def cluster_sums(blocks: DataFrame, centres: dict[int, np.ndarray]) -> dict[int, list]:
@@ -57,13 +103,16 @@ def cluster_sums(blocks: DataFrame, centres: dict[int, np.ndarray]) -> dict[int,
     def partial(frames):
         held = {}
         for x in _blocks(frames):
-            square = (x * x).sum(1)
-            for k, at in centres.items():
-                label, apart = _nearest(x, at)
-                sums = held.setdefault(k, np.zeros((len(at), 3 + x.shape[1])))
-                for j, weight in enumerate((None, square, apart)):
-                    sums[:, j] += np.bincount(label, weight, len(at))
-                np.add.at(sums[:, 3:], label, x)
+            for tile, square, found in _nearest(x, list(centres.values())):
+                row = np.column_stack([np.ones(len(tile)), square, square, tile])
+                for (k, at), (label, row[:, 2]) in zip(centres.items(), found):
+                    sums = held.setdefault(k, np.zeros((len(at), row.shape[1])))
+                    order = np.argsort(label, kind="stable")
+                    first = np.flatnonzero(np.diff(label[order], prepend=-1))
+                    if len(first) == 1:
+                        sums[label[0]] += row.sum(0)
+                    else:
+                        sums[label[order[first]]] += np.add.reduceat(row[order], first, axis=0)
         yield pd.DataFrame([(k, c, *row[:3], row[3:].tobytes()) for k, sums in held.items()
                             for c, row in enumerate(sums) if row[0]], columns=["k", "cluster", "n", "q", "within", "s"])
 
@@ -135,26 +184,29 @@ def _silhouettes(blocks: DataFrame, centres: dict[int, np.ndarray], sums: dict[i
     def measure(frames):
         total = {}
         for x in _blocks(frames):
-            square = (x * x).sum(1)
-            for k, at in centres.items():
-                if len(sums[k]) < 2:
-                    continue
-                label, _ = _nearest(x, at)
-                place = np.full(len(at), -1)
-                place[[r[0] for r in sums[k]]] = np.arange(len(sums[k]))
-                own, each = place[label], np.arange(len(x))
-                n, q = (np.array([r[j] for r in sums[k]]) for j in (1, 2))
-                apart = square[:, None] + q / n - 2 * (x @ (np.array([r[4] for r in sums[k]]) / n[:, None]).T)
-                size = n[own]
-                a = np.maximum(apart[each, own], 0) * size / np.maximum(size - 1, 1)
-                apart[each, own] = np.inf
-                b = np.maximum(apart.min(1), 0)
-                found = np.where((size > 1) & (np.maximum(a, b) > 0), (b - a) / np.maximum(np.maximum(a, b), 1e-300), 0.0)
-                total[k] = total.get(k, 0.0) + found.sum()
+            for tile, square, nearest in _nearest(x, list(centres.values())):
+                for (k, at), (label, _) in zip(centres.items(), nearest):
+                    if len(sums[k]) < 2:
+                        continue
+                    place = np.full(len(at), -1)
+                    place[[r[0] for r in sums[k]]] = np.arange(len(sums[k]))
+                    own, each = place[label], np.arange(len(tile))
+                    n, q, middle = parts[k]
+                    apart = square[:, None] + q / n - 2 * (tile @ middle.T)
+                    size = n[own]
+                    a = np.maximum(apart[each, own], 0) * size / np.maximum(size - 1, 1)
+                    apart[each, own] = np.inf
+                    b = np.maximum(apart.min(1), 0)
+                    found = np.where((size > 1) & (np.maximum(a, b) > 0), (b - a) / np.maximum(np.maximum(a, b), 1e-300), 0.0)
+                    total[k] = total.get(k, 0.0) + found.sum()
         yield pd.DataFrame(list(total.items()), columns=["k", "s"])
 
-    parts = blocks.mapInPandas(measure, "k INT, s DOUBLE").groupBy("k").agg(F.sum("s").alias("s"))
-    return {r.k: r.s / sum(row[1] for row in sums[r.k]) for r in parts.collect()}
+    parts = {}
+    for k, rows in sums.items():
+        n, q = (np.array([r[j] for r in rows]) for j in (1, 2))
+        parts[k] = n, q, np.array([r[4] for r in rows]) / n[:, None]
+    found = blocks.mapInPandas(measure, "k INT, s DOUBLE").groupBy("k").agg(F.sum("s").alias("s"))
+    return {r.k: r.s / sum(row[1] for row in sums[r.k]) for r in found.collect()}
 
 
 def kmeans_quality(rows: DataFrame, ks: tuple[int, ...], **how) -> DataFrame:

@@ -55,3 +55,26 @@ def test_few_equal_and_missing_rows(spark):
     assert got[2].silhouette == pytest.approx(5 / 6)  # the row alone counts 0
     empty = cl.kmeans_quality(rows.limit(0), (2, 3)).collect()
     assert [(r.k, r.clusters, r.silhouette, r.ch) for r in empty] == [(2, 0, None, None), (3, 0, None, None)]
+
+
+def test_tiles_leave_out_far_centres_only(monkeypatch):
+    rng = np.random.default_rng(6)
+    x = np.round(rng.normal(size=(700, 3)), 1)
+    x = x[np.lexsort(x.T)]
+    monkeypatch.setattr(cl, "TILE", 50)
+    centres = [x[rng.choice(700, k)] for k in (1, 9, 40)]
+    tiles = list(cl._nearest(x, centres))
+    for j, at in enumerate(centres):
+        apart = ((x[:, None] - at) ** 2).sum(2)
+        got = np.concatenate([found[j][1] for _, _, found in tiles])
+        label = np.concatenate([found[j][0] for _, _, found in tiles])
+        assert np.allclose(got, apart.min(1)) and np.allclose(apart[np.arange(700), label], apart.min(1))
+    narrow = x[:50] * 0.1
+    assert len(cl._Centres.of(centres).near(narrow).k) < 50
+
+
+def test_rows_of_one_partition_are_spread(spark, points, monkeypatch):
+    monkeypatch.setattr(cl, "LEAST_ROWS", 60)
+    rows = table(spark, points).coalesce(1)
+    sizes = [sum(len(x) for x in part) for part in cl._pack(rows).rdd.map(lambda r: [[0] * r.n]).glom().map(lambda p: [x for b in p for x in b]).collect()]
+    assert sum(sizes) == 240 and max(sizes) < 150
