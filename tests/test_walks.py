@@ -1,7 +1,9 @@
 import hashlib
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -216,6 +218,29 @@ def test_skip_gram_rounds_match_dense_rounds(spark, block):
     assert cosine[same].mean() > cosine[~same & ~np.eye(nodes, dtype=bool)].mean()
 
 
+def test_a_cell_of_skip_gram_holds_its_pairs_not_all_of_its_blocks(monkeypatch):
+    width, size = 3000, 2
+    monkeypatch.setattr(embed, "STEP_CELLS", 6)
+    rng = np.random.default_rng(2)
+    c, o = rng.permutation(width)[:50], rng.permutation(width)[:50]
+    c[:7] = c[0]
+    pos, neg, u, v = rng.random(50), rng.random(50), rng.normal(size=(width, size)), rng.normal(size=(width, size))
+    pairs = pa.table({"c": c, "o": o, "pos": pos, "neg": neg})
+    vectors = pa.table({"side": ["c"] * width + ["o"] * width, "idx": np.tile(np.arange(width), 2), "vec": np.concatenate([u, v]).tolist()})
+    tracemalloc.start()
+    got = embed._gradients(width, size)((pa.scalar(0), pa.scalar(0)), pairs, vectors).to_pylist()
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < width * width  # a table of all pairs has eight times as many bytes
+    chance = 1 / (1 + np.exp(-(u[c] * v[o]).sum(1)))
+    pull = pos * (1 - chance) - neg * chance
+    for side, nodes, other in (("c", c, v[o]), ("o", o, u[c])):
+        found = {r["idx"]: r for r in got if r["side"] == side}
+        assert set(found) == set(nodes.tolist())
+        for x, r in found.items():
+            assert np.allclose(r["g"], (pull[:, None] * other)[nodes == x].sum(0)) and np.isclose(r["w"], (pos + neg)[nodes == x].sum())
+
+
 def test_biased_walks_end_on_a_node_without_edges(spark):
     edges = spark.createDataFrame([("a", "b", 1.0), ("c", "a", 2.0)], "src STRING, dst STRING, w DOUBLE")
     trail = wk.biased_walks(edges, walks=3, length=6).collect()
