@@ -153,5 +153,11 @@ def test_rows_of_one_partition_are_spread_and_a_tree_takes_a_pass_a_level(spark,
     monkeypatch.setattr(bo, "_grown", counted("grown", bo._grown))
     monkeypatch.setattr(bo, "_best_splits", counted("best", bo._best_splits))
     monkeypatch.setattr(bo, "HERE", 350 * 28)  # leaves of more than 350 rows are large
-    bo.fit(rows, [bo.Setting(trees=2, leaves=12, rate=0.2, rows=1.0, columns=1.0)])
+    setting = bo.Setting(trees=2, leaves=12, rate=0.2, rows=1.0, columns=1.0)
+    soon = bo.fit(rows, [setting])[0]
+    calls.update(grown=0, best=0)
+    monkeypatch.setattr(bo, "WAIT", 1000)
+    late = bo.fit(rows, [setting])[0]
     assert calls["grown"] == 2 and calls["best"] >= 2
+    for one, two in zip(soon.trees, late.trees):
+        assert np.allclose(np.sort(one.value[one.leaf >= 0]), np.sort(two.value[two.leaf >= 0]))
