@@ -161,3 +161,40 @@ def test_rows_of_one_partition_are_spread_and_a_tree_takes_a_pass_a_level(spark,
     assert calls["grown"] == 2 and calls["best"] >= 2
     for one, two in zip(soon.trees, late.trees):
         assert np.allclose(np.sort(one.value[one.leaf >= 0]), np.sort(two.value[two.leaf >= 0]))
+
+
+def test_the_grid_has_the_reference_s_trees():
+    assert ln.CTR_TREES.trees == 1500 and ln.CTR_TREES.depth == 10
+
+
+def test_a_small_table_grows_in_one_task_a_model_as_in_passes(spark, points, monkeypatch):
+    rows = table(spark, *points).repartition(3)
+    grid = [bo.Setting(trees=bo.STEP + 2, leaves=12, rate=rate, least_rows=5, fold=fold) for rate in (0.1, 0.3) for fold in (-1, 1)]
+    passes = []
+    grow = bo._best_splits
+    monkeypatch.setattr(bo, "_best_splits", lambda *args: passes.append(1) or grow(*args))
+    whole, right = bo._fitted(rows, grid, 3)
+    assert not passes
+    monkeypatch.setattr(bo, "HERE", 0)
+    split, same = bo._fitted(rows.repartition(5), grid, 3)
+    assert passes and [len(m.trees) for m in whole] == [len(m.trees) for m in split] == [bo.STEP + 2] * 4
+    for a, b in zip(whole, split):
+        assert all(np.array_equal(x.leaf.max(), y.leaf.max()) for x, y in zip(a.trees, b.trees))
+        one, two = (bo.scores(m, rows).orderBy("id").toPandas()["pred"] for m in (a, b))
+        assert np.allclose(one, two, atol=1e-9)
+    # held-out rows predicted right, counted from the margins, are those of the trees
+    counted = {r.model: r.right for r in bo.progress(whole, rows).where(f"held and tree = {bo.STEP + 2}").collect()}
+    assert {m: n for m, n in right.items() if grid[m].fold >= 0} == {m: n for m, n in counted.items() if grid[m].fold >= 0}
+    assert right == same
+
+
+def test_written_tables_go(spark, points):
+    from tallyrank.session import discard, shared_folder, written
+
+    saved = written(table(spark, *points).select("id"), "gone")
+    name = saved.inputFiles()[0].split("/")[-2]
+    assert saved.count() == 900
+    discard(saved)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{name}")
+    assert not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    discard(spark.range(1))
