@@ -320,3 +320,35 @@ def test_whole_gradients_by_cells(spark, monkeypatch, biased):
     for table, want in ((left, u), (right, v)):
         got = {r.id: [r.f0, r.f1, r.f2, r.bias] for r in table.collect()}
         assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i]) for i in want)
+
+
+def _bpr_dense(triples, start, k, rounds, step, reg):
+    users, items = ({key: np.array(v) for key, v in side.items()} for side in start)
+    for _ in range(rounds):
+        sums = [{key: np.zeros(k + 1) for key in side} for side in (users, items)]
+        for u, i, j in triples:
+            gap = items[i] - items[j]
+            e = 1 / (1 + np.exp(users[u] @ gap))
+            for side, key, move in ((0, u, gap), (1, i, users[u]), (1, j, -users[u])):
+                sums[side][key] += [1, *(e * move)]
+        for side, own in ((0, users), (1, items)):
+            for key, total in sums[side].items():
+                own[key] = own[key] + step / (1 + step * total[0]) * (total[1:] - reg * own[key])
+    return users, items
+
+
+@pytest.mark.parametrize("cell_entries", [1 << 20, 40, 8])
+def test_bpr_cells_give_the_dense_gradient(spark, cell_entries):
+    rng = np.random.default_rng(4)
+    # user 0 has most triples, so that it is dealt to cells; some rows come twice, some have nulls
+    rows = [(int(u), int(i), int(j)) for u, i, j in zip(rng.integers(0, 9, 90) * rng.integers(0, 2, 90), rng.integers(0, 12, 90), rng.integers(0, 12, 90))]
+    rows += rows[:5]
+    triples = spark.createDataFrame([*rows, (None, 1, 2), (3, None, 2), (3, 50, None)], "user_id LONG, item_id LONG, neg LONG")
+
+    def plain(rounds):
+        found = fa.bpr_factors(triples, 3, rounds, 0.3, 1e-2, cell_entries)
+        return [{r.id: [r.f0, r.f1, r.f2] for r in side.collect()} for side in found]
+
+    want, got = _bpr_dense(rows, plain(0), 3, 3, 0.3, 1e-2), plain(3)
+    for a, b in zip(want, got):
+        assert a.keys() == b.keys() and all(np.allclose(a[key], b[key], atol=1e-9) for key in a)

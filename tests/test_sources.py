@@ -110,3 +110,13 @@ def test_encoders(spark):
     assert row.clean == "Toy  Story   1995" and row.year == 1995 and row.date == "1995"
     assert row.vector == [2] + [int(g in ("Comedy", "Drama")) for g in fx.GENRES]
     assert row.user == [2, 3, 7]
+
+
+def test_interactions_are_written_once(spark):
+    from tallyrank.sources.tables import Tables
+
+    from conftest import SMALL
+
+    rows = Tables(spark, SMALL).interactions
+    assert all("/interactions-" in f for f in rows.inputFiles()) and rows.inputFiles()
+    assert rows.columns == ["user_id", "item_id", "rating", "ts"] and rows.count() == rows.dropDuplicates(["user_id", "item_id"]).count()
